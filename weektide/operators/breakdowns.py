@@ -13,7 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weektide.functions.dates import month_name, year_month
-from weektide.functions.numeric import percent, percent_or_zero, ratio, rnd, total
+from weektide.functions.numeric import (
+    fixed_mean,
+    fixed_sum,
+    percent,
+    percent_or_zero,
+    ratio,
+    rnd,
+    total,
+)
 from weektide.functions.tiers import band_number
 from weektide.schema import DISCOUNT_EDGES, DISCOUNT_LABELS
 
@@ -62,7 +70,7 @@ def category_contribution(df: DataFrame) -> DataFrame:
 
 
 def subcategory_performance(df: DataFrame) -> DataFrame:
-    mean_discount = ratio(F.sum("discount"), F.count("discount"))
+    mean_discount = fixed_mean(F.col("discount"))
     out = by_dimension(
         df, ["category", "sub_category"],
         ["sales", "profit", "quantity", "transactions"],
@@ -184,7 +192,7 @@ def month_year_pivot(df: DataFrame, years: list[int]) -> DataFrame:
     The years are given, so no extra job looks them up.
     """
     cells = [
-        F.sum(F.when(F.year("order_date") == y, F.col("sales"))).cast("double").alias(f"y{y}")
+        fixed_sum(F.when(F.year("order_date") == y, F.col("sales"))).alias(f"y{y}")
         for y in years
     ]
     return (
@@ -320,7 +328,7 @@ def discount_by_profit_sign(df: DataFrame) -> DataFrame:
 
     def mean_discount(side: Column) -> Column:
         kept = F.when(side, F.col("discount"))
-        return rnd(ratio(F.sum(kept), F.count(kept)) * 100, 2)
+        return rnd(fixed_mean(kept) * 100, 2)
 
     return df.agg(
         F.count_if(loss).alias("loss_rows"),

@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 from weektide.functions.dates import parse_mixed_date
 from weektide.functions.text import postal_code, strip
-from weektide.schema import MONEY, RATE, TRIM_COLUMNS
+from weektide.schema import MONEY, RATE, TRIM_COLUMNS, text_columns
 
 
 def trim_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Strip white space from text columns; names not in ``df`` are skipped."""
-    chosen = TRIM_COLUMNS if columns is None else columns
-    return df.withColumns({c: strip(F.col(c)) for c in chosen if c in df.columns})
+    """Strip white space from text columns; others and absent names are skipped."""
+    chosen, texts = TRIM_COLUMNS if columns is None else columns, text_columns(df)
+    return df.withColumns({c: strip(F.col(c)) for c in chosen if c in texts})
 
 
 def standardize_types(df: DataFrame) -> DataFrame:
@@ -61,7 +61,8 @@ def cleaning_summary(df: DataFrame, trim_columns: list[str] | None = None) -> Da
     typed = standardize_types(trim_text(df, trim_columns))
     business = [c for c in typed.columns if c != "row_id"]
     groups = typed.groupBy(*business).agg(F.count(F.lit(1)).alias("copies"))
-    trimmed = [c for c in (trim_columns or TRIM_COLUMNS) if c in df.columns]
+    texts = text_columns(df)
+    trimmed = [c for c in (trim_columns or TRIM_COLUMNS) if c in texts]
     rows = F.coalesce(F.sum("copies"), F.lit(0))
     kept = F.count(F.lit(1))
     return groups.agg(

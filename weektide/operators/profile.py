@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weektide.functions.numeric import rnd
+from weektide.functions.numeric import fixed_mean, fixed_sum, rnd
 
 MEASURES = ["sales", "quantity", "discount", "profit"]
 
@@ -93,11 +93,11 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(c).alias("count"),
-                rnd(F.try_divide(F.sum(c).cast("double"), F.count(c)), 4).alias("mean"),
+                rnd(fixed_mean(F.col(c)), 4).alias("mean"),
                 rnd(F.stddev_samp(F.col(c).cast("double")), 4).alias("std"),
                 F.min(c).cast("double").alias("min"),
                 F.max(c).cast("double").alias("max"),
-                F.sum(c).cast("double").alias("sum"),
+                fixed_sum(F.col(c)).alias("sum"),
                 F.count_if(F.col(c) < 0).alias("negative"),
                 F.count_if(F.col(c) == 0).alias("zero"),
             )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weektide.functions.numeric import rnd
+from weektide.functions.numeric import fixed_mean, rnd
 from weektide.functions.text import has_margin_space
 from weektide.schema import text_columns
 
@@ -163,7 +163,7 @@ def numeric_profile(
                 F.lit(c).alias("column"),
                 F.min(c).cast("double").alias("min"),
                 F.max(c).cast("double").alias("max"),
-                rnd(F.try_divide(F.sum(c).cast("double"), F.count(c)), 2).alias("mean"),
+                rnd(fixed_mean(F.col(c)), 2).alias("mean"),
             )
         )
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))

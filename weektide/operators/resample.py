@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weektide.functions.dates import Frequency
-from weektide.functions.numeric import percent_or_zero, ratio
+from weektide.functions.numeric import fixed_mean, percent_or_zero, ratio, rnd, total
 
 
 def series_window(keys: list[str] | None, order: str = "date"):
@@ -54,10 +54,6 @@ def _resample(
     )
 
 
-def _sum(name: str) -> Column:
-    return F.coalesce(F.sum(name).cast("double"), F.lit(0.0))
-
-
 def aggregate_by_time(
     df: DataFrame,
     freq: str = "ME",
@@ -69,8 +65,8 @@ def aggregate_by_time(
     ``orders`` is left out when the table has no ``order_id``.
     """
     measures = {
-        "sales": _sum("sales"),
-        "profit": _sum("profit"),
+        "sales": total(F.col("sales")),
+        "profit": total(F.col("profit")),
         "quantity": F.coalesce(F.sum("quantity"), F.lit(0)),
     }
     if "order_id" in df.columns:
@@ -94,13 +90,11 @@ def aggregate_to_weekly(
     """
     keys = list(keys or [])
     measures = {
-        "sales": _sum("sales"),
-        "profit": _sum("profit"),
+        "sales": total(F.col("sales")),
+        "profit": total(F.col("profit")),
         "quantity": F.coalesce(F.sum("quantity"), F.lit(0)),
         "orders": F.count_distinct("order_id"),
-        "avg_discount": F.coalesce(
-            ratio(F.sum("discount"), F.count("discount")), F.lit(0.0)
-        ),
+        "avg_discount": F.coalesce(fixed_mean(F.col("discount")), F.lit(0.0)),
     }
     if not drop_partial:
         return _resample(df, "W-SUN", keys, date_col, measures)
@@ -135,8 +129,6 @@ def active_days(df: DataFrame, date_col: str = "order_date") -> DataFrame:
 
 def peak_ratio(weekly: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Best week against the median week of each series."""
-    from weektide.functions.numeric import rnd
-
     peak, middle = F.max("sales"), F.percentile("sales", 0.5)
     return weekly.groupBy(*(keys or [])).agg(
         rnd(peak, 2).alias("peak_sales"), rnd(middle, 2).alias("median_sales"),

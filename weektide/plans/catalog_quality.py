@@ -80,7 +80,7 @@ def _(spark, path):
 
 @query(
     "standardize_types",
-    f"""{S.WITH_T} SELECT order_id, CAST(order_date AS VARCHAR) AS order_date,
+    f"""{S.WITH_T} SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_date AS VARCHAR) AS order_date,
        CAST(ship_date AS VARCHAR) AS ship_date, CAST(sales AS DOUBLE) AS sales, quantity,
        CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit FROM t""",
 )
@@ -375,7 +375,7 @@ def _(spark, path):
        count(*) AS rows_removed, count(*) AS rows_retained,
        CAST({len(COLUMNS)} AS BIGINT) AS columns,
        count(*) FILTER (profit < 0) AS negative_profit_rows_retained,
-       'order_id,ship_mode,customer_id,customer_name,segment,state,region,product_id,category,sub_category,product_name' AS text_trimmed_columns,
+       'ship_mode,customer_name,segment,state,region,category,sub_category,product_name' AS text_trimmed_columns,
        false AS postal_code_standardized FROM t""",
 )
 def _(spark, path):

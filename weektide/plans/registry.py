@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weektide.session import tune
 from weektide.sources.star import transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +42,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, path: str) -> DataFrame:
-            return plain(fn(spark, path))
+            return plain(fn(tune(spark), path))
 
         run.__name__ = name
         QUERIES[name] = run

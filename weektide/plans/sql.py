@@ -5,11 +5,11 @@ from __future__ import annotations
 #: CTE ``t``: the transactions view.
 T = """t AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS row_id,
-         CAST(l_orderkey AS VARCHAR) AS order_id,
+         l_orderkey AS order_id,
          CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date,
-         o_orderpriority AS ship_mode, CAST(o_custkey AS VARCHAR) AS customer_id,
+         o_orderpriority AS ship_mode, o_custkey AS customer_id,
          c_name AS customer_name, c_mktsegment AS segment, n_name AS state, r_name AS region,
-         CAST(l_partkey AS VARCHAR) AS product_id, p_type AS category,
+         l_partkey AS product_id, p_type AS category,
          p_brand AS sub_category, p_name AS product_name,
          CAST(CAST(l_extendedprice AS DECIMAL(12,2))
               * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)))

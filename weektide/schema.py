@@ -1,8 +1,9 @@
 """Column names, types and default parameters shared by every operator.
 
 Operators work on one canonical *transactions* table: one row per order line,
-snake_case columns, money as exact decimals so that sums do not depend on how
-the rows were partitioned.
+snake_case columns, amounts in DOUBLE with at most four decimals.  Sums of amounts
+are taken in whole ten-thousandths (``functions.numeric.fixed_sum``), so they are
+exact and do not depend on how the rows were partitioned.
 """
 
 from __future__ import annotations
@@ -11,8 +12,11 @@ import re
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 4)
-RATE = T.DecimalType(6, 4)
+MONEY = T.DoubleType()
+RATE = T.DoubleType()
+
+# Decimals kept of every amount and rate.
+AMOUNT_DIGITS = 4
 
 # Header row of a raw transaction file, in file order.
 RAW_HEADERS = [

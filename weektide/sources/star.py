@@ -16,8 +16,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weektide.schema import MONEY, RATE
-
 _FROM_REGION = {"region"}
 _FROM_NATION = {"state"} | _FROM_REGION
 _FROM_CUSTOMER = {"customer_name", "segment"} | _FROM_NATION
@@ -66,32 +64,32 @@ def transactions(
             )
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
 
-    # Eighteen digits keep every per-row amount in a machine word.
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    rate = F.col("l_discount").cast("decimal(4,2)")
-    sales = (price * (F.lit(1) - rate)).cast(MONEY)
-    cost = (
-        F.col("l_quantity").cast("decimal(4,0)")
-        * F.col("p_retailprice").cast("decimal(10,2)")
-    )
+    # Prices and rates have two decimals: whole hundredths multiply exactly.
+    def hundredths(name: str):
+        return F.rint(F.col(name) * 100).cast("bigint")
+
+    quantity = F.col("l_quantity").cast("bigint")
+    rate = hundredths("l_discount")
+    sales = hundredths("l_extendedprice") * (F.lit(100) - rate)
+    cost = quantity * hundredths("p_retailprice") * 100
     exprs = {
         "row_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-        "order_id": F.col("l_orderkey").cast("string"),
+        "order_id": F.col("l_orderkey"),
         "order_date": F.col("o_orderdate").cast("date"),
         "ship_date": F.col("l_shipdate").cast("date"),
         "ship_mode": F.col("o_orderpriority"),
-        "customer_id": F.col("o_custkey").cast("string"),
+        "customer_id": F.col("o_custkey"),
         "customer_name": F.col("c_name"),
         "segment": F.col("c_mktsegment"),
         "state": F.col("n_name"),
         "region": F.col("r_name"),
-        "product_id": F.col("l_partkey").cast("string"),
+        "product_id": F.col("l_partkey"),
         "category": F.col("p_type"),
         "sub_category": F.col("p_brand"),
         "product_name": F.col("p_name"),
-        "sales": sales,
-        "quantity": F.col("l_quantity").cast("bigint"),
-        "discount": rate.cast(RATE),
-        "profit": (sales - cost).cast(MONEY),
+        "sales": sales / 10000.0,
+        "quantity": quantity,
+        "discount": rate / 100.0,
+        "profit": (sales - cost) / 10000.0,
     }
     return out.select(*[exprs[c].alias(c) for c in wanted])
