@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+for _folder in (Path(__file__).resolve().parent, Path(__file__).resolve().parent.parent):
+    sys.path.insert(0, str(_folder))
 
 
 @pytest.fixture(scope="session")
