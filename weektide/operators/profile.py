@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weektide.functions.numeric import fixed_mean, fixed_sum, rnd
+from weektide.operators.quality import cardinalities
 
 MEASURES = ["sales", "quantity", "discount", "profit"]
 
@@ -20,31 +21,33 @@ def exact_quantiles(
 ) -> DataFrame:
     """``(column, probability, value)`` with linear interpolation between ranks.
 
-    The built-in exact percentile keeps every distinct value in one buffer.
-    Here equal values collapse into counts first; counts per coarse bucket tell
-    which bucket holds a rank, and only those buckets are then ordered.  Bucket
-    borders follow a signed logarithm, so long tails spread over many buckets.
+    The built-in exact percentile keeps every distinct value in one buffer.  Here
+    one pass finds the range of each column, a second counts rows per bucket,
+    which tells the buckets that hold the asked ranks, and a third looks at the
+    values of those few buckets.  Only bucket counts and the chosen buckets are
+    ever shuffled, copies of a value collapse first, and what is broadcast has one
+    row per column, or per column and probability.  Bucket borders follow a signed
+    logarithm, so long tails spread over many buckets.
     """
-    long = (
+    values = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], columns, "column", "value")
         .filter(F.col("value").isNotNull())
     )
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    squashed = F.signum("value") * F.log1p(F.abs("value"))
-    spans = counts.groupBy("column").agg(
-        F.min(squashed).alias("low"), F.max(squashed).alias("high")
+    low, high = F.min("value"), F.max("value")
+    spans = values.groupBy("column").agg(
+        _squash(low).alias("low"), (_squash(high) - _squash(low)).alias("span")
     )
     place = F.coalesce(
-        F.try_divide(squashed - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0)
+        F.try_divide(_squash(F.col("value")) - F.col("low"), F.col("span")), F.lit(0.0)
     )
-    placed = counts.join(spans, "column").select(
-        "column", "value", "n",
+    placed = values.join(F.broadcast(spans), "column").select(
+        "column", "value",
         F.least(F.floor(place * _BUCKETS), F.lit(_BUCKETS - 1)).alias("bucket"),
     )
     along = W.partitionBy("column").orderBy("bucket")
     buckets = (
-        placed.groupBy("column", "bucket").agg(F.sum("n").alias("size"))
+        placed.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("size"))
         .withColumns(
             {
                 "upto": F.sum("size").over(along.rowsBetween(W.unboundedPreceding, 0)),
@@ -52,38 +55,39 @@ def exact_quantiles(
             }
         )
     )
-    # Zero-based ranks on both sides of each asked quantile.
+    # Zero-based ranks on both sides of each asked quantile, in their bucket.
+    asked = F.array(*[F.lit(float(p)) for p in probabilities])
     targets = (
-        buckets.withColumn(
-            "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-        )
+        buckets.withColumn("probability", F.explode(asked))
         .withColumn("position", (F.col("total") - 1) * F.col("probability"))
         .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
-        .distinct()
-        .filter(
-            (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("size"))
-        )
-        .select(
-            "column", "bucket", "probability", "position", "rank",
-            (F.col("upto") - F.col("size")).alias("before"),
-        )
+        .withColumn("before", F.col("upto") - F.col("size"))
+        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("before")))
+        .groupBy("column", "bucket", "before")
+        .agg(F.collect_set(F.struct("probability", "position", "rank")).alias("wanted"))
     )
     inside = W.partitionBy("column", "bucket").orderBy("value")
-    needed = targets.select("column", "bucket", "before").distinct()
-    ordered = placed.join(needed, ["column", "bucket"]).withColumn(
-        "upto",
-        F.col("before") + F.sum("n").over(inside.rowsBetween(W.unboundedPreceding, 0)),
-    )
-    found = ordered.drop("before").join(targets, ["column", "bucket"]).filter(
+    ordered = (
+        placed.join(F.broadcast(targets), ["column", "bucket"], "left_semi")
+        .groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("seen", F.sum("n").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+        .join(F.broadcast(targets), ["column", "bucket"])
+        .withColumn("upto", F.col("before") + F.col("seen"))
+    )
+    found = ordered.select("*", F.inline("wanted")).filter(
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
     )
-    low, high = F.min("value"), F.max("value")
     part = F.max(F.col("position") - F.floor("position"))
     return found.groupBy("column", "probability").agg(
         (low + (high - low) * part).alias("value")
     )
 
 
+def _squash(value: Column) -> Column:
+    """A monotone signed logarithm."""
+    return F.signum(value) * F.log1p(F.abs(value))
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, spread, exact quartiles, IQR, sum and sign counts per measure."""
     chosen = columns or MEASURES
@@ -122,7 +126,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("frequency"))
     )
     totals = counts.groupBy("column").agg(F.sum("frequency").alias("whole"))
-    return counts.join(totals, "column").select(
+    # One row per column.
+    return counts.join(F.broadcast(totals), "column").select(
         "column", "value", "frequency",
         rnd(F.col("frequency") * 100.0 / F.col("whole"), 2).alias("percentage"),
     )
@@ -130,8 +135,6 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def overview(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(metric, value)``: rows, distinct members, first, last and active days."""
-    from weektide.operators.quality import cardinalities
-
     basic = df.agg(
         F.count(F.lit(1)).cast("string").alias("transactions"),
         F.min("order_date").cast("string").alias("first_order_date"),

@@ -7,6 +7,9 @@ data level by level, so no key, however frequent, ends up whole in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,45 +18,94 @@ from weektide.functions.text import has_margin_space
 from weektide.schema import text_columns
 
 
-def _rows(df: DataFrame, aggregates: dict[str, Column], limits: dict[str, Column]) -> DataFrame:
-    """One aggregate over ``df`` turned into check rows.
+@dataclass(frozen=True)
+class Check:
+    """A scalar check: an aggregate and the condition its value has to meet.
 
-    ``limits`` maps a check to its pass condition on ``value``; a check without
-    one is informative and passes.
+    Without a condition the check is informative and passes.
     """
-    one = df.agg(*[a.cast("double").alias(n) for n, a in aggregates.items()])
-    long = one.unpivot([], list(aggregates), "check", "value")
-    passed = F.lit(True)
-    for name, condition in limits.items():
-        passed = F.when(F.col("check") == name, condition).otherwise(passed)
-    return long.withColumn("passed", F.coalesce(passed, F.lit(False)))
 
+    name: str
+    aggregate: Column
+    passes: Callable[[Column], Column] | None = None
+    section: str = ""
+
+
+def _is_zero(value: Column) -> Column:
+    return value == 0
+
+
+def _run(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All ``checks`` by one aggregate over ``df``, as ``(section, check, value, passed)``."""
+    cells = []
+    for c in checks:
+        value = c.aggregate.cast("double")
+        passed = F.lit(True) if c.passes is None else F.coalesce(c.passes(value), F.lit(False))
+        cells.append(
+            F.struct(
+                F.lit(c.section).alias("section"), F.lit(c.name).alias("check"),
+                value.alias("value"), passed.alias("passed"),
+            )
+        )
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+def _dimension_checks(df: DataFrame, rows: int | None, columns: int | None) -> list[Check]:
+    def equals(wanted):
+        return None if wanted is None else lambda value: value == wanted
+
+    return [
+        Check("rows", F.count(F.lit(1)), equals(rows), "dimensions"),
+        Check("columns", F.max(F.lit(len(df.columns))), equals(columns), "dimensions"),
+    ]
+
+
+def _null_checks(df: DataFrame) -> list[Check]:
+    counts = {c: F.count_if(F.col(c).isNull()) for c in df.columns}
+    each = [Check(f"nulls_{c}", n, _is_zero, "missing_values") for c, n in counts.items()]
+    whole = sum(counts.values(), F.lit(0))
+    return [*each, Check("nulls_total", whole, _is_zero, "missing_values")]
+
+
+def _chronology_checks() -> list[Check]:
+    lead = F.datediff("ship_date", "order_date")
+    found = {
+        "invalid_order_dates": F.col("order_date").isNull(),
+        "invalid_ship_dates": F.col("ship_date").isNull(),
+        "order_after_ship": F.col("order_date") > F.col("ship_date"),
+        "negative_shipping_days": lead < 0,
+    }
+    return [Check(n, F.count_if(c), _is_zero, "dates") for n, c in found.items()]
+
+
+def _numeric_checks() -> list[Check]:
+    loss = F.count_if(F.col("profit") < 0)
+    outside = (F.col("discount") < 0) | (F.col("discount") > 1)
+    share = rnd(F.try_divide(loss * 100, F.count(F.lit(1))), 2)
+    return [
+        Check("sales_non_positive", F.count_if(F.col("sales") <= 0), _is_zero, "numerics"),
+        Check("quantity_non_positive", F.count_if(F.col("quantity") <= 0), _is_zero, "numerics"),
+        Check("discount_out_of_bounds", F.count_if(outside), _is_zero, "numerics"),
+        Check("negative_profit_count", loss, None, "numerics"),
+        Check("negative_profit_pct", share, None, "numerics"),
+    ]
 
-def _zero(names) -> dict[str, Column]:
-    return {n: F.col("value") == 0 for n in names}
+
+def _space_checks(columns: list[str]) -> list[Check]:
+    return [
+        Check(f"whitespace_{c}", F.count_if(has_margin_space(F.col(c))), None, "whitespace")
+        for c in columns
+    ]
 
 
 def dimensions(df: DataFrame, rows: int | None = None, columns: int | None = None) -> DataFrame:
     """Row and column counts against what was expected (``None``: not checked)."""
-    limits = {}
-    if rows is not None:
-        limits["rows"] = F.col("value") == rows
-    if columns is not None:
-        limits["columns"] = F.col("value") == columns
-    return _rows(
-        df, {"rows": F.count(F.lit(1)), "columns": F.max(F.lit(len(df.columns)))}, limits
-    )
+    return _run(df, _dimension_checks(df, rows, columns)).drop("section")
 
 
 def nulls(df: DataFrame) -> DataFrame:
     """NULL count of every column and their total."""
-    counts = {c: F.count_if(F.col(c).isNull()) for c in df.columns}
-    whole = sum(counts.values(), F.lit(0))
-    names = [f"nulls_{c}" for c in df.columns]
-    return _rows(
-        df, dict(zip(names, counts.values())) | {"nulls_total": whole},
-        _zero([*names, "nulls_total"]),
-    )
+    return _run(df, _null_checks(df)).drop("section")
 
 
 def duplicates(
@@ -73,16 +125,14 @@ def duplicates(
         F.sum("rows").alias("rows"), F.sum("kinds").alias("kinds"), n.alias("pairs")
     )
     all_rows = F.coalesce(F.sum("rows"), F.lit(0))
-    return _rows(
-        orders,
-        {
-            "full_row_duplicates": all_rows - F.coalesce(F.sum("kinds"), F.lit(0)),
-            "unique_orders": F.count(order_col),
-            "multi_item_order_rows": all_rows - n,
-            "duplicate_order_product_pairs": all_rows - F.coalesce(F.sum("pairs"), F.lit(0)),
-        },
-        _zero(["full_row_duplicates"]),
-    )
+    kinds, met = F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))
+    checks = [
+        Check("full_row_duplicates", all_rows - kinds, _is_zero),
+        Check("unique_orders", F.count(order_col)),
+        Check("multi_item_order_rows", all_rows - n),
+        Check("duplicate_order_product_pairs", all_rows - met),
+    ]
+    return _run(orders, checks).drop("section")
 
 
 def duplicate_members(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,14 +154,7 @@ def duplicate_members(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def chronology(df: DataFrame) -> DataFrame:
     """Missing dates, orders after shipment, negative lead times."""
-    lead = F.datediff("ship_date", "order_date")
-    checks = {
-        "invalid_order_dates": F.count_if(F.col("order_date").isNull()),
-        "invalid_ship_dates": F.count_if(F.col("ship_date").isNull()),
-        "order_after_ship": F.count_if(F.col("order_date") > F.col("ship_date")),
-        "negative_shipping_days": F.count_if(lead < 0),
-    }
-    return _rows(df, checks, _zero(checks))
+    return _run(df, _chronology_checks()).drop("section")
 
 
 def date_profile(df: DataFrame) -> DataFrame:
@@ -139,17 +182,7 @@ def date_profile(df: DataFrame) -> DataFrame:
 
 def numeric_bounds(df: DataFrame) -> DataFrame:
     """Sales and quantity above 0, discount in [0, 1]; losses are counted, not failed."""
-    loss = F.count_if(F.col("profit") < 0)
-    checks = {
-        "sales_non_positive": F.count_if(F.col("sales") <= 0),
-        "quantity_non_positive": F.count_if(F.col("quantity") <= 0),
-        "discount_out_of_bounds": F.count_if(
-            (F.col("discount") < 0) | (F.col("discount") > 1)
-        ),
-        "negative_profit_count": loss,
-        "negative_profit_pct": rnd(F.try_divide(loss * 100, F.count(F.lit(1))), 2),
-    }
-    return _rows(df, checks, _zero(list(checks)[:3]))
+    return _run(df, _numeric_checks()).drop("section")
 
 
 def numeric_profile(
@@ -195,17 +228,18 @@ def domain_differences(df: DataFrame, expected: dict[str, list[str]]) -> DataFra
     present = [c for c in expected if c in df.columns]
     observed = (
         df.select(*present).unpivot([], present, "column", "value")
-        .filter(F.col("value").isNotNull()).distinct()
+        .filter(F.col("value").isNotNull()).distinct().withColumn("seen", F.lit(True))
     )
     wanted = df.sparkSession.createDataFrame(
-        [(c, v) for c in present for v in expected[c]], "column string, value string"
+        [(c, v, True) for c in present for v in expected[c]],
+        "column string, value string, wanted boolean",
+    )
+    status = (
+        F.when(F.col("wanted").isNull(), "unexpected").when(F.col("seen").isNull(), "missing")
     )
-    on = ["column", "value"]
     return (
-        observed.join(wanted, on, "left_anti").withColumn("status", F.lit("unexpected"))
-        .unionByName(
-            wanted.join(observed, on, "left_anti").withColumn("status", F.lit("missing"))
-        )
+        observed.join(wanted, ["column", "value"], "full_outer")
+        .select("column", "value", status.alias("status")).filter("status is not null")
     )
 
 
@@ -250,34 +284,29 @@ def report(
     rows: int | None = None,
     columns: int | None = None,
 ) -> DataFrame:
-    """All checks as ``(section, check, value, passed)``."""
-    by_column = domains(df, expected_domains)
-    spaces = whitespace(df)
-    sections = {
-        "dimensions": dimensions(df, rows, columns),
-        "missing_values": nulls(df),
-        "duplicates": duplicates(df),
-        "dates": chronology(df),
-        "numerics": numeric_bounds(df),
-        "categoricals": by_column.select(
-            F.concat(F.lit("domain_"), "column").alias("check"),
-            (F.col("unexpected") + F.col("missing")).cast("double").alias("value"),
-            "passed",
-        ),
-        "whitespace": spaces.select(
-            F.concat(F.lit("whitespace_"), "column").alias("check"),
-            F.col("rows").cast("double").alias("value"),
-            F.lit(True).alias("passed"),
-        ),
-    }
-    parts = [
-        part.select(F.lit(name).alias("section"), "check", "value", "passed")
-        for name, part in sections.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """All checks as ``(section, check, value, passed)``.
+
+    Three passes: one for every scalar check, one for the domains, one for the
+    duplicates.
+    """
+    scalar = _run(
+        df,
+        [
+            *_dimension_checks(df, rows, columns), *_null_checks(df),
+            *_chronology_checks(), *_numeric_checks(), *_space_checks(text_columns(df)),
+        ],
+    )
+    by_column = domains(df, expected_domains).select(
+        F.lit("categoricals").alias("section"),
+        F.concat(F.lit("domain_"), "column").alias("check"),
+        (F.col("unexpected") + F.col("missing")).cast("double").alias("value"),
+        "passed",
+    )
+    repeated = duplicates(df).withColumn("section", F.lit("duplicates"))
+    return (
+        scalar.filter((F.col("section") != "whitespace") | (F.col("value") > 0))
+        .unionByName(repeated).unionByName(by_column)
+    )
 
 
 def enforce(checks: DataFrame) -> None:
