@@ -15,6 +15,7 @@ from weektide.operators.features import build_features
 from weektide.operators.forecast import forecast_summary, holdout_table
 from weektide.plans import sql as S
 from weektide.plans.registry import query, series_table
+from weektide.sources.durable import durable
 
 TEST_YEAR = 2001
 _DATE = "CAST(date AS VARCHAR) AS date"
@@ -24,9 +25,13 @@ def _features(spark, path, keys=()):
     return build_features(series_table(spark, path, *keys), list(keys))
 
 
-def _train(spark, path, keys=()):
-    split = E.chronological_split(_features(spark, path, keys), TEST_YEAR)
-    return split.filter("role = 'train'").drop("role")
+def _stored(spark, path, keys=()):
+    """The feature table, stored where a query reads it more than once."""
+    return durable(_features(spark, path, keys))
+
+
+def _train(features):
+    return E.chronological_split(features, TEST_YEAR).filter("role = 'train'").drop("role")
 
 
 @query(
@@ -42,7 +47,7 @@ def _(spark, path):
     S.folds(TEST_YEAR, ["region"]) + f"SELECT region, fold, {_DATE}, sales, role FROM cv",
 )
 def _(spark, path):
-    folded = E.expanding_folds(_train(spark, path, ["region"]), 5, ["region"])
+    folded = E.expanding_folds(_train(_features(spark, path, ["region"])), 5, ["region"])
     return folded.select("region", "fold", "date", "sales", "role")
 
 
@@ -61,7 +66,7 @@ def _span(side: str) -> str:
 FROM cv GROUP BY 1""",
 )
 def _(spark, path):
-    return E.fold_periods(E.expanding_folds(_train(spark, path), 5))
+    return E.fold_periods(E.expanding_folds(_train(_features(spark, path)), 5))
 
 
 _TEST = S.split(TEST_YEAR) + ", x AS (SELECT * FROM s WHERE role = 'test')\n"
@@ -106,7 +111,7 @@ cm AS (SELECT model, {', '.join(S.rnd(f'avg({m})') + f' AS cv_{m}' for m in E.ME
 SELECT cm.*, {', '.join(f'tm.{m} AS test_{m}' for m in E.METRICS)} FROM cm JOIN tm USING (model)""",
 )
 def _(spark, path):
-    return E.evaluate_baselines(_features(spark, path), TEST_YEAR)
+    return E.evaluate_baselines(_stored(spark, path), TEST_YEAR)
 
 
 @query(
@@ -117,7 +122,7 @@ SELECT fold, train_start || ' to ' || train_end AS train_period, train_n,
 FROM per JOIN m USING (fold)""",
 )
 def _(spark, path):
-    train = _train(spark, path)
+    train = _train(_stored(spark, path))
     return E.backtest_table(E.expanding_folds(train, 5), E.baseline_folds(train, 5))
 
 
@@ -129,7 +134,7 @@ def _(spark, path):
        {S.rnd('avg(wape)')} AS mean_wape FROM m GROUP BY 1""",
 )
 def _(spark, path):
-    return E.backtest_summary(E.baseline_folds(_train(spark, path), 5))
+    return E.backtest_summary(E.baseline_folds(_train(_features(spark, path)), 5))
 
 
 @query(
@@ -140,7 +145,7 @@ def _(spark, path):
 FROM m GROUP BY 1""",
 )
 def _(spark, path):
-    return E.mean_of_folds(E.baseline_folds(_train(spark, path), 5))
+    return E.mean_of_folds(E.baseline_folds(_train(_features(spark, path)), 5))
 
 
 def _seasonal(spark, path, keys=()):
