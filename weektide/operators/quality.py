@@ -273,7 +273,9 @@ def cardinalities(
     if approximate is not None:
         counts = df.agg(*[F.approx_count_distinct(c, approximate).alias(c) for c in columns])
         return counts.unpivot([], columns, "column", "distinct_values")
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    values = df.select(*columns)
+    if len({kind for _, kind in values.dtypes}) > 1:
+        values = values.select(*[F.col(c).cast("string").alias(c) for c in columns])
     seen = values.unpivot([], columns, "column", "value").distinct()
     return seen.groupBy("column").agg(F.count("value").alias("distinct_values"))
 
