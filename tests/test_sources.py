@@ -47,6 +47,8 @@ def test_fingerprint_does_not_change_by_reading(spark, raw_file):
     files.scan_raw_csv(spark, raw_file).count()
     after = files.file_fingerprints(spark, raw_file).first()
     assert before == after and len(before["sha256"]) == 64
+    large = files.file_fingerprints(spark, raw_file, largest=10).first()
+    assert large["sha256"] is None and large["size_bytes"] == before["size_bytes"]
 
 
 def test_cleaning_pipeline(spark, raw_file, tmp_path):

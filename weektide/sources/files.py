@@ -43,12 +43,24 @@ def scan_raw_csv(
     )
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """Size and SHA-256 of each file under ``path``."""
+def file_fingerprints(
+    spark: SparkSession, path: str, largest: int = 1 << 30
+) -> DataFrame:
+    """Size and SHA-256 of each file under ``path``.
+
+    A digest needs the whole file in one row, so files above ``largest`` bytes get
+    their size only; the length filter reaches the source, which then leaves
+    their content unread.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
+    size = F.col("length").alias("size_bytes")
+    hashed = files.filter(F.col("length") <= largest).select(
+        "path", size, F.sha2("content", 256).alias("sha256")
+    )
+    listed = files.filter(F.col("length") > largest).select(
+        "path", size, F.lit(None).cast("string").alias("sha256")
     )
+    return hashed.unionByName(listed)
 
 
 def with_calendar(df: DataFrame, date_col: str = "order_date") -> DataFrame:
