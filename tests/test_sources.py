@@ -6,6 +6,7 @@ from weektide.operators import features as FE
 from weektide.operators import models as M
 from weektide.plans import pipelines
 from weektide.schema import RAW_HEADERS, TRANSACTION_SCHEMA, schema_difference
+from weektide.session import tune
 from weektide.sources import files, sinks
 from weektide.sources.star import COLUMNS, transactions
 from weektide.streaming import weekly
@@ -123,6 +124,17 @@ def test_features_by_key_are_written_by_folder(spark, tmp_path):
     assert spark.read.parquet(path).filter("region = 'ASIA'").count() > 0
 
 
+def test_shuffle_width_follows_the_data(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        tune(spark, shuffle_bytes=10 * 2**30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        tune(spark, shuffle_bytes=1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_stream_of_files_equals_batch(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     lines = transactions(spark, SMALL, ["order_date", "sales", "profit", "quantity", "region"])

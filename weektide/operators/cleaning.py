@@ -61,17 +61,36 @@ def cleaning_summary(df: DataFrame, trim_columns: list[str] | None = None) -> Da
     typed = standardize_types(trim_text(df, trim_columns))
     business = [c for c in typed.columns if c != "row_id"]
     groups = typed.groupBy(*business).agg(F.count(F.lit(1)).alias("copies"))
-    texts = text_columns(df)
+    counted = groups.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
+        F.count(F.lit(1)).alias("cleaned_rows"),
+        F.count_if(F.col("profit") < 0).alias("losses"),
+    )
+    return _summary(counted, df, trim_columns)
+
+
+def stored_cleaning_summary(
+    raw: DataFrame, cleaned: DataFrame, trim_columns: list[str] | None = None
+) -> DataFrame:
+    """The same row when the cleaned table has been written: two counts, no shuffle."""
+    before = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+    after = cleaned.agg(
+        F.count(F.lit(1)).alias("cleaned_rows"), F.count_if(F.col("profit") < 0).alias("losses")
+    )
+    both = before.unionByName(after, allowMissingColumns=True)
+    names = ("raw_rows", "cleaned_rows", "losses")
+    return _summary(both.agg(*[F.max(n).alias(n) for n in names]), raw, trim_columns)
+
+
+def _summary(counted: DataFrame, raw: DataFrame, trim_columns: list[str] | None) -> DataFrame:
+    texts = text_columns(raw)
     trimmed = [c for c in (trim_columns or TRIM_COLUMNS) if c in texts]
-    rows = F.coalesce(F.sum("copies"), F.lit(0))
-    kept = F.count(F.lit(1))
-    return groups.agg(
-        rows.alias("raw_rows"),
-        kept.alias("cleaned_rows"),
-        (rows - kept).alias("rows_removed"),
-        kept.alias("rows_retained"),
-        F.lit(len(df.columns)).alias("columns"),
-        F.count_if(F.col("profit") < 0).alias("negative_profit_rows_retained"),
+    return counted.select(
+        "raw_rows", "cleaned_rows",
+        (F.col("raw_rows") - F.col("cleaned_rows")).alias("rows_removed"),
+        F.col("cleaned_rows").alias("rows_retained"),
+        F.lit(len(raw.columns)).alias("columns"),
+        F.col("losses").alias("negative_profit_rows_retained"),
         F.lit(",".join(trimmed)).alias("text_trimmed_columns"),
-        F.lit("postal_code" in df.columns).alias("postal_code_standardized"),
+        F.lit("postal_code" in raw.columns).alias("postal_code_standardized"),
     )

@@ -30,8 +30,8 @@ def run_cleaning(
     """
     raw = files.scan_raw_csv(tune(spark), raw_path)
     sinks.write_cleaned(cleaning.clean(raw), out_path)
+    cleaned = spark.read.parquet(out_path)
     if strict:
-        cleaned = spark.read.parquet(out_path)
         rules = quality.numeric_bounds(cleaned).unionByName(quality.chronology(cleaned))
         if domains:
             found = quality.domains(cleaned, domains, exact=False)
@@ -42,7 +42,7 @@ def run_cleaning(
                 )
             )
         quality.enforce(rules)
-    return cleaning.cleaning_summary(raw)
+    return cleaning.stored_cleaning_summary(raw, cleaned)
 
 
 def run_features(
