@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from weektide.functions.numeric import rnd
 
-#: Baseline name -> the feature that serves as its prediction.
+# Baseline name and the feature that serves as its prediction.
 BASELINES = {
     "Naive Baseline": "sales_lag_1",
     "Seasonal Naive Baseline": "sales_lag_52",

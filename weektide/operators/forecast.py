@@ -21,6 +21,9 @@ from weektide.operators.models import fit, ridge
 from weektide.schema import LAG_STEPS
 from weektide.sources.durable import durable
 
+# Status of the first step and of step h.
+OBSERVED, RECURSIVE = "Observed History", "Recursive ($h={step}$)"
+
 #: Adds ``prediction`` to a table of predictors.
 Predict = Callable[[DataFrame], DataFrame]
 
@@ -153,7 +156,7 @@ def recursive_forecast(
             )
         )
         history = history.unionByName(result)
-        status = "Observed History" if step == 1 else f"Recursive ($h={step}$)"
+        status = OBSERVED if step == 1 else RECURSIVE.format(step=step)
         steps.append(
             result.select(
                 *keys, F.lit(step).alias("horizon_step"), F.col("date").alias("forecast_date"),

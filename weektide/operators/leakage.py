@@ -14,7 +14,9 @@ from weektide.operators.features import feature_columns
 from weektide.operators.resample import series_window
 from weektide.schema import SAME_WEEK_COLUMNS
 
+# Correlation limit and the two verdicts.
 THRESHOLD = 0.95
+CLEAN, LEAKING = "NO TARGET LEAKAGE DETECTED", "TARGET LEAKAGE DETECTED"
 
 
 def _neighbours(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -141,8 +143,7 @@ def audit(
                 "forbidden_columns": F.lit(",".join(forbidden)),
                 "feature_count": F.lit(len(names)),
                 "passed": passed,
-                "verdict": F.when(passed, "NO TARGET LEAKAGE DETECTED")
-                .otherwise("TARGET LEAKAGE DETECTED"),
+                "verdict": F.when(passed, CLEAN).otherwise(LEAKING),
             }
         )
     )

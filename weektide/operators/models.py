@@ -79,6 +79,8 @@ def gradient_boosting(rows: int, spread: float) -> Estimator:
     )
 
 
+# The names models are reported under.  The settings above (penalty,
+# tree counts, depths, step sizes, leaf sizes, seed) are fixed values too.
 MODELS: dict[str, Factory] = {
     "Ridge Regression": ridge(),
     "Random Forest": random_forest,
