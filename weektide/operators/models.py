@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 from weektide.functions.numeric import rnd
 from weektide.operators.evaluate import (
     METRICS,
-    baseline_folds,
     chronological_split,
     comparison_table,
     evaluate_baselines,
     expanding_folds,
     forecast_metrics,
     mean_of_folds,
+    with_baselines,
 )
 from weektide.operators.features import feature_columns
 from weektide.sources.durable import durable
@@ -215,12 +215,7 @@ def backtest(
 ) -> DataFrame:
     """Fold metrics of both baselines and every model."""
     val = expanding_folds(train, folds, keys).filter("role = 'val'")
-    if keys:
-        from weektide.operators.evaluate import with_baselines
-
-        base = forecast_metrics(with_baselines(val), ["fold", "model"])
-    else:
-        base = baseline_folds(train, folds)
+    base = forecast_metrics(with_baselines(val), ["fold", "model"])
     return base.unionByName(cross_validate(train, folds, models, keys, parallelism))
 
 
