@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    ``spark.checkpoint.dir`` wins.  Where nothing is set, a local session gets a
-    temporary folder; a cluster session has to name one.
+    ``spark.checkpoint.dir`` wins.  Where nothing is set, the folder lies in the
+    session's warehouse, which all executors reach as well.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -19,11 +17,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder all executors can reach"
-            )
-        folder = tempfile.mkdtemp(prefix="weektide-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
