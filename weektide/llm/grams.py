@@ -25,6 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def salt(n: int) -> np.uint64:
+    """A number of its own for every ``n``, to tell uses of one hash apart."""
+    return _U(n * int(_BASE) % (1 << 64))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a string column and where each begins; NULL is empty."""
     column = column.cast(pa.large_binary())
@@ -86,7 +91,7 @@ def gram_hashes(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.nd
         return words[:0], owner[:0]
     total = np.zeros(n, _U)
     for k in range(width):
-        total += mix(words[k : n + k] + _U(k + 1) * _BASE)
+        total += mix(words[k : n + k] + salt(k + 1))
     keep = owner[:n] == owner[width - 1 :]
     return mix(total[keep] + _U(width)), owner[:n][keep]
 
