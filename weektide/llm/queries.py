@@ -1,6 +1,7 @@
 """All named queries of the text operators."""
 
 from weektide.llm import (  # noqa: F401  (importing registers)
+    q_decontam,
     q_jaccard,
     q_langid,
     q_packing,
