@@ -1,10 +1,90 @@
-"""The corpus pipeline: from raw documents to packed token sequences."""
+"""The corpus pipeline: from raw documents to packed token sequences.
+
+Each stage works on all that the one before has kept and is written as Parquet.  All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weektide.llm.decontam import find_items
+from weektide.llm.jaccard import join_components
+from weektide.llm.langid import identify
+from weektide.llm.packing import pack
+from weektide.llm.pii import pseudonymise
+from weektide.llm.q_langid import fitted
+from weektide.llm.q_pii import KEY
+from weektide.llm.registry import read
+from weektide.llm.store import shared_path
+from weektide.session import tune
+
+#: A document is rejected when no language makes up this share of it.
+LEAST_SHARE = 0.5
+
+
+def _tag(name: str, df: DataFrame) -> str:
+    """A column name that the documents don't have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def _mark(docs: DataFrame, ids: DataFrame, keep: str) -> DataFrame:
+    """``docs`` joined to the distinct ``doc_id`` of ``ids``; ``keep`` is the kind of join."""
+    mark = _tag("marked", docs)
+    marks = ids.select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(marks, F.col("doc_id").eqNullSafe(F.col(mark)), keep)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a main language, go."""
+    found = identify(docs, "doc_id", "text", fitted(docs))
+    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
+    return _mark(docs, rejected, "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id stays."""
+    found = join_components(docs)
+    return _mark(docs, found.where("doc_id <> component_id"), "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of the benchmark go."""
+    return _mark(docs, find_items(docs, read(spark, sf_dir, "benchmark")), "left_anti")
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by pseudonyms; ``n_chars`` follows the text."""
+    out = pseudonymise(docs, "text", KEY)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("pseudonyms", pseudonyms),
+    ("packing", packing),
+]
+
+#: SQL can express neither expectation-maximisation nor tokenizers; see tests/llm.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder and read again."""
+    docs = read(tune(spark), sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,7 @@ from weektide.llm import (  # noqa: F401  (importing registers)
     q_jaccard,
     q_langid,
     q_packing,
+    q_pii,
     q_warc,
 )
 from weektide.llm.registry import ORACLES, QUERIES
