@@ -2,6 +2,7 @@
 
 from weektide.llm import (  # noqa: F401  (importing registers)
     q_decontam,
+    q_fingerprint,
     q_jaccard,
     q_langid,
     q_packing,
