@@ -3,6 +3,7 @@
 from weektide.llm import (  # noqa: F401  (importing registers)
     q_decontam,
     q_fingerprint,
+    q_html,
     q_jaccard,
     q_langid,
     q_packing,
