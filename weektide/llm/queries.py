@@ -8,6 +8,7 @@ from weektide.llm import (  # noqa: F401  (importing registers)
     q_langid,
     q_packing,
     q_pii,
+    q_tokencount,
     q_warc,
 )
 from weektide.llm.registry import ORACLES, QUERIES
