@@ -76,6 +76,18 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begin, end, np.searchsorted(at, begin, "right") - 1
 
 
+def rolling(raw: np.ndarray):
+    """A function that hashes pieces of ``raw``, given where they begin and their length."""
+    up, down = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, _U)
+    np.cumsum((raw.astype(_U) + _U(1)) * up[:-1], out=sums[1:])
+
+    def hashes(begin: np.ndarray, length) -> np.ndarray:
+        return mix((sums[begin + length] - sums[begin]) * down[begin])
+
+    return hashes
+
+
 def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word, equal for equal words wherever they stand."""
     up, down = _powers(len(raw) + 1)

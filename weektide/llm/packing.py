@@ -40,6 +40,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Distinct words whose ids a task remembers; it starts afresh beyond.
 REMEMBERED = 400_000
+#: Cut remainders that are sent to every task; more of them are joined by a shuffle.
+SENT = 20_000
 #: Characters tokenized at a time.
 _SLICE = 1 << 20
 
@@ -260,22 +262,21 @@ def pack(
     )
     whole = placed.where("part = length").select(*full.columns[:6], F.col("at").alias("offset"))
     cuts = placed.where("part < length")
-    return full.unionByName(whole).unionByName(
-        _recount(docs, id_col, text_col, path, cuts, capacity, end_id)
-    )
+    # The plan says how many remainders it cuts; few of them are sent to the texts.
+    if sum(row[2] for row in places if row[4] < row[0]) <= SENT:
+        cuts = F.broadcast(cuts)
+    return full.unionByName(whole).unionByName(_recount(docs, id_col, text_col, path, cuts, end_id))
 
 
-def _recount(docs, id_col, text_col, path, cuts, capacity, end_id) -> DataFrame:
+def _recount(docs, id_col, text_col, path, cuts, end_id) -> DataFrame:
     """Cut parts with the CRC-32 of their own ids."""
     end = np.array([end_id], "<u4").tobytes()
-    parts = cuts.groupBy("doc_id", "start", "ids_crc32", "doc_tokens").agg(
-        F.collect_set(F.struct("part_start", "part", "sequence_id", "at")).alias("parts")
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    wanted = parts.select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("text"))
-    texts = rows.join(wanted, rows["__id"].eqNullSafe(wanted["__id"]), "left_semi").distinct()
-    found = texts.join(parts, F.col("__id").eqNullSafe(F.col("doc_id"))).select(
-        "doc_id", "start", "ids_crc32", "doc_tokens", "parts", "text"
+    found = texts.join(cuts, F.col("id").eqNullSafe(F.col("doc_id"))).select(
+        "doc_id", "start", "ids_crc32", "doc_tokens", "part_start", "part", "sequence_id", "at",
+        "text",
     )
 
     def crc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -287,16 +288,14 @@ def _recount(docs, id_col, text_col, path, cuts, capacity, end_id) -> DataFrame:
                 rest = ids[4 * row.start :]
                 if len(ids) // 4 != row.doc_tokens or zlib.crc32(rest) != row.ids_crc32:
                     continue  # another row with the same id
-                for part in row.parts:
-                    a, n = part["part_start"], part["part"]
-                    sum_ = zlib.crc32(rest[4 * a : 4 * (a + n)])
-                    out.append((row.doc_id, row.start + a, n, sum_, row.doc_tokens,
-                                part["sequence_id"], part["at"]))
+                a, n = row.part_start, row.part
+                out.append((row.doc_id, row.start + a, n, zlib.crc32(rest[4 * a : 4 * (a + n)]),
+                            row.doc_tokens, row.sequence_id, row.at))
             yield pd.DataFrame(out, columns=_OUT.replace(" bigint", "").split(", ")).astype(
                 {"doc_id": "Int64"}
             )
 
-    return found.mapInPandas(crc, _OUT)
+    return found.mapInPandas(crc, _OUT).distinct()
 
 
 _OUT = PIECES + ", sequence_id bigint, offset bigint"
