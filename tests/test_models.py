@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weektide.operators import evaluate as E
@@ -139,8 +140,31 @@ def test_recursive_forecast(features):
     assert [(r["forecast_date"] - last).days for r in rows] == [7, 14, 21, 28]
     assert all(r["predicted_sales"] >= 0 for r in rows)
     assert [r["lag_status"] for r in rows][:2] == ["Observed History", "Recursive ($h=2$)"]
+    assert FC.recursive_forecast(features, model, 20).filter("predicted_sales >= 0").count() == 20
     with pytest.raises(ValueError):
-        FC.recursive_forecast(features, model, 13)
+        FC.recursive_forecast(features, model, 0)
+
+
+def test_no_series_is_lost(by_region):
+    newest = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("date")))
+    short = by_region.withColumn("k", newest).filter("region <> 'ASIA' or k <= 9").drop("k")
+    models = L.fit_local_ridge(by_region.filter("region <> 'AFRICA'"), ["region"])
+    columns = FE.feature_columns(by_region, ["region"])
+    rows = FC.recursive_forecast(
+        short, lambda d: L.predict_local(d, models, ["region"], columns), 2, ["region"]
+    ).collect()
+    assert len(rows) == 10
+    status = {r["region"]: r["lag_status"] for r in rows if r["horizon_step"] == 2}
+    assert status["ASIA"] == FC.SHORT and status["AFRICA"] == FC.NO_MODEL
+    lost = {r["region"] for r in rows if r["predicted_sales"] is None}
+    assert lost == {"ASIA", "AFRICA"}
+    gaps = L.local_metrics(L.predict_local(by_region, models, ["region"]), ["region"]).collect()
+    assert {r["region"] for r in gaps if r["unpredicted"]} == {"AFRICA"} and len(gaps) == 5
+
+
+def test_a_split_needs_both_sides(features):
+    with pytest.raises(ValueError, match="split"):
+        M.fit_holdout(features, 1900, RIDGE)
 
 
 def test_serving_uses_the_training_definition(spark):

@@ -42,6 +42,17 @@ def test_fixed_sum_beyond_a_machine_word(spark):
     assert big.agg(fixed_sum(F.col("x"))).first()[0] == 1.6e18
 
 
+def test_fixed_sum_loses_no_amount(spark):
+    def sum_of(values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(fixed_sum(F.col("x"))).first()[0]
+
+    assert sum_of([1e15, 1.0]) == 1e15 + 1
+    assert sum_of([1e300, 1.0]) == 1e300
+    assert abs(sum_of([0.00001] * 10) - 1e-4) < 1e-12
+    assert sum_of([0.1 + 0.2, float("nan"), None]) == 0.3
+
+
 def test_fixed_sum_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.agg(fixed_sum(F.col("x"))).first()[0] is None

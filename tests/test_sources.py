@@ -48,8 +48,37 @@ def test_fingerprint_does_not_change_by_reading(spark, raw_file):
     files.scan_raw_csv(spark, raw_file).count()
     after = files.file_fingerprints(spark, raw_file).first()
     assert before == after and len(before["sha256"]) == 64
-    large = files.file_fingerprints(spark, raw_file, largest=10).first()
-    assert large["sha256"] is None and large["size_bytes"] == before["size_bytes"]
+
+
+def test_every_byte_of_the_windows_encoding(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    signs = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+    line = LINE.encode("latin-1").replace("Zoë".encode("latin-1"), signs)
+    path.write_bytes((",".join(RAW_HEADERS) + "\n").encode() + line)
+    row = files.scan_raw_csv(spark, str(path)).first()
+    assert row["customer_name"].startswith(signs.decode("cp1252"))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "breaks.csv"
+    path.write_text(",".join(RAW_HEADERS) + "\n" + LINE.replace(" Café Case ", '"Cafe\nCase"'))
+    row = files.scan_raw_csv(spark, str(path), multi_line=True).collect()
+    assert len(row) == 1 and row[0]["sales"] == 261.96
+
+
+def test_unreadable_amounts_are_refused(spark, tmp_path):
+    path, out = tmp_path / "bad.csv", str(tmp_path / "cleaned")
+    head = ",".join(RAW_HEADERS) + "\n"
+    path.write_bytes((head + LINE.replace(",2,0,", ",2.0,0,")).encode("latin-1"))
+    assert pipelines.run_cleaning(spark, str(path), out).first()["cleaned_rows"] == 1
+    assert spark.read.parquet(out).first()["quantity"] == 2
+    path.write_bytes((head + LINE.replace("261.96", "abc")).encode("latin-1"))
+    with pytest.raises(ValueError, match="unreadable_sales"):
+        pipelines.run_cleaning(spark, str(path), out)
+    path.write_bytes((head + LINE.replace("Furniture", "")).encode("latin-1"))
+    with pytest.raises(ValueError, match="domain_category"):
+        pipelines.run_cleaning(spark, str(path), out)
+    assert spark.read.parquet(out).first()["sales"] == 261.96  # the good table is still there
 
 
 def test_cleaning_pipeline(spark, raw_file, tmp_path):
@@ -101,15 +130,19 @@ def test_training_and_forecast_pipelines(spark, tmp_path):
     sinks.write_table(transactions(spark, SMALL), cleaned)
     assert pipelines.run_features(spark, cleaned, stored).first()["passed"]
     ranking = pipelines.run_training(
-        spark, stored, out, 2001, 3, {"Ridge Regression": M.ridge()}
+        spark, stored, out, 2001, 3, parallelism=8
     ).collect()
     maes = [r["test_mae"] for r in ranking]
-    assert len(ranking) == 3 and maes == sorted(maes)
+    assert len(ranking) == 6 and maes == sorted(maes)
     tables = files.load_evaluation_tables(spark, out)
-    assert tables["backtest_folds"].count() == 9
-    assert tables["worst_forecasts"].count() == 10
+    assert tables["backtest_folds"].count() == 18
+    assert tables["worst_forecasts"].count() == 40
     meta = tables["model_metadata"].first()
     assert meta["feature_count"] == 26 and meta["holdout"]["mae"] in maes
+    assert meta["holdout"]["beats_naive"] in ("YES", "NO") and meta["backtest"]["mean_mae"] > 0
+    formulas = {r["formula"] for r in spark.read.json(f"{out}/baseline_predictions").collect()}
+    assert formulas == {"prediction = sales_lag_1", "prediction = sales_lag_52"}
+    assert spark.read.option("header", True).csv(f"{out}/example_forecast").count() > 20
     summary = pipelines.run_forecast(
         spark, stored, f"{out}/models/final_model", str(tmp_path / "forecast"), 3
     ).first()

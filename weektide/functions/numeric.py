@@ -22,18 +22,34 @@ def rnd(col: Column, digits: int) -> Column:
 
 
 def fixed_sum(col: Column) -> Column:
-    """Exact SUM of amounts with up to four decimals, as DOUBLE; NULL over no rows.
+    """SUM of amounts as DOUBLE, exact for amounts with up to four decimals; NULL over
+    no rows.
 
-    Amounts are added as whole ten-thousandths.  Their upper and lower parts are
+    Such amounts are added as whole ten-thousandths.  Their upper and lower parts are
     summed separately, so both accumulators are machine words (a DECIMAL
     accumulator costs several times the scan) and neither overflows below 10^12
-    rows of any amount a DOUBLE holds exactly.
+    rows of any amount a DOUBLE holds exactly.  Amounts that are finer, or too large
+    for whole ten-thousandths in a word, go to a third, floating accumulator: none is
+    lost.  NaN counts as missing.
     """
     scale = 10**AMOUNT_DIGITS
-    units = F.rint(col.cast("double") * scale).try_cast("bigint")
-    upper = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    lower = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    return (upper * (1 << _LOW_BITS) + lower).cast("double") / scale
+    value = col.cast("double")
+    value = F.when(~F.isnan(value), value)
+    scaled = value * scale
+    units = F.rint(scaled)
+    # Binary noise of an amount with four decimals stays far below this.
+    fits = (F.abs(units) < 2.0**62) & (
+        F.abs(scaled - units) <= F.greatest(F.lit(1e-3), F.abs(units) * 1e-12)
+    )
+    whole = F.when(fits, units.cast("bigint"))
+    upper = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
+    lower = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
+    exact = (upper * (1 << _LOW_BITS) + lower).cast("double") / scale
+    other = F.sum(F.when(~fits, value))
+    return F.when(
+        exact.isNotNull() | other.isNotNull(),
+        F.coalesce(exact, F.lit(0.0)) + F.coalesce(other, F.lit(0.0)),
+    )
 
 
 def fixed_mean(col: Column) -> Column:

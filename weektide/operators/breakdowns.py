@@ -186,21 +186,27 @@ def day_of_week(df: DataFrame) -> DataFrame:
     )
 
 
-def month_year_pivot(df: DataFrame, years: list[int]) -> DataFrame:
-    """One row per month, one sales column per year; empty cells are NULL.
-
-    The years are given, so no extra job looks them up.
-    """
-    cells = [
-        fixed_sum(F.when(F.year("order_date") == y, F.col("sales"))).alias(f"y{y}")
-        for y in years
-    ]
+def month_year_sales(df: DataFrame) -> DataFrame:
+    """``(month, year, sales)`` of every month of every year that has rows."""
     return (
         df.filter(F.col("order_date").isNotNull())
-        .groupBy(F.month("order_date").alias("month")).agg(*cells)
+        .groupBy(F.month("order_date").alias("month"), F.year("order_date").alias("year"))
+        .agg(fixed_sum(F.col("sales")).alias("sales"))
     )
 
 
+def month_year_pivot(df: DataFrame, years: list[int]) -> DataFrame:
+    """The same, one row per month and one sales column per given year; empty cells are
+    NULL.  Raises if rows lie in other years."""
+    cells = month_year_sales(df)
+    other = cells.filter(~F.col("year").isin(years)).select("year").distinct().collect()
+    if other:
+        raise ValueError(f"rows in years without a column: {sorted(r.year for r in other)}")
+    return cells.groupBy("month").agg(*[
+        F.max(F.when(F.col("year") == y, F.col("sales"))).alias(f"y{y}") for y in years
+    ])
+
+
 def subcategory_profit(df: DataFrame) -> DataFrame:
     """Profit per sub-category, worst first, with the sign used for colouring."""
     out = by_dimension(df, ["sub_category"], ["profit"])
@@ -283,20 +289,23 @@ def top_products(df: DataFrame, n: int = 5, worst: int = 3) -> DataFrame:
 
 
 def topk_share(df: DataFrame, dimension: str, k: int) -> DataFrame:
-    """Share of sales and of profit held by the ``k`` leading members."""
-    totals = by_dimension(df, [dimension], ["sales", "profit"])
-    rows = []
-    for measure in ("sales", "profit"):
-        leaders = totals.orderBy(F.desc(measure), dimension).limit(k)
-        top, whole = _top_and_whole(leaders, totals, measure)
-        rows.append(
-            top.unionByName(whole).agg(
-                F.lit(dimension).alias("dimension"), F.lit(measure).alias("measure"),
-                F.lit(k).alias("k"),
-                percent(F.max("top"), F.max("whole")).alias("share_pct"),
-            )
-        )
-    return rows[0].unionByName(rows[1])
+    """Share of sales and of profit held by the ``k`` leading members.
+
+    Both measures are lists of one table, so the rows behind them are read once.
+    """
+    measures = ["sales", "profit"]
+    totals = by_dimension(df, [dimension], measures)
+    values = totals.unpivot([dimension], measures, "measure", "value")
+    place = F.row_number().over(W.partitionBy("measure").orderBy(F.desc("value"), dimension))
+    top = (
+        values.withColumn("place", place).filter(F.col("place") <= k)
+        .groupBy("measure").agg(F.sum("value").alias("top"))
+    )
+    whole = values.groupBy("measure").agg(F.sum("value").alias("whole"))
+    return top.join(whole, "measure").select(
+        F.lit(dimension).alias("dimension"), "measure", F.lit(k).alias("k"),
+        percent(F.col("top"), F.col("whole")).alias("share_pct"),
+    )
 
 
 def correlation_matrix(

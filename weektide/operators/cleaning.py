@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +17,16 @@ def trim_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: strip(F.col(c)) for c in chosen if c in texts})
 
 
+def _whole(col: Column) -> Column:
+    """A whole number, also where it is written with zeros behind a point; else NULL."""
+    value = col.try_cast("decimal(38,6)")
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
+
+
 def standardize_types(df: DataFrame) -> DataFrame:
     """Give the well-known columns their types; unreadable values become NULL.
 
-    Count them afterwards with the null check of the quality report.
+    ``unreadable`` counts those, so that they can be refused.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out = {}
@@ -30,13 +36,40 @@ def standardize_types(df: DataFrame) -> DataFrame:
             out[name] = parse_mixed_date(F.col(name)) if is_text else F.col(name).cast("date")
     if "postal_code" in kinds:
         out["postal_code"] = postal_code(F.col("postal_code"))
-    for name, kind in (("sales", MONEY), ("profit", MONEY), ("discount", RATE),
-                       ("quantity", T.LongType())):
+    for name, kind in (("sales", MONEY), ("profit", MONEY), ("discount", RATE)):
         if name in kinds:
             out[name] = F.col(name).try_cast(kind)
+    for name in ("quantity", "row_id"):
+        if name in kinds:
+            is_long = isinstance(kinds[name], T.LongType)
+            out[name] = F.col(name) if is_long else _whole(F.col(name))
     return df.withColumns(out)
 
 
+#: Columns whose values may be unreadable.
+TYPED_COLUMNS = ["row_id", "order_date", "ship_date", "sales", "quantity", "discount", "profit"]
+
+
+def unreadable(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column]:
+    """Aggregates that count, per typed column, values that are there but can't be read.
+
+    ``df`` has the columns as written; blank text counts as missing.
+    """
+    chosen = [c for c in (columns or TYPED_COLUMNS) if c in df.columns]
+    out = {}
+    for c in chosen:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, T.StringType):
+            continue
+        text = strip(F.col(c))
+        if c in ("order_date", "ship_date"):
+            value = parse_mixed_date(text)
+        else:
+            value = _whole(text) if c in ("quantity", "row_id") else text.try_cast("double")
+        out[c] = F.count_if((F.length(text) > 0) & value.isNull())
+    return out
+
+
 def deduplicate(df: DataFrame, surrogate: str = "row_id") -> DataFrame:
     """One row per distinct combination of all columns but the surrogate.
 
@@ -70,16 +103,14 @@ def cleaning_summary(df: DataFrame, trim_columns: list[str] | None = None) -> Da
 
 
 def stored_cleaning_summary(
-    raw: DataFrame, cleaned: DataFrame, trim_columns: list[str] | None = None
+    raw: DataFrame, raw_rows: int, cleaned: DataFrame, trim_columns: list[str] | None = None
 ) -> DataFrame:
-    """The same row when the cleaned table has been written: two counts, no shuffle."""
-    before = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-    after = cleaned.agg(
-        F.count(F.lit(1)).alias("cleaned_rows"), F.count_if(F.col("profit") < 0).alias("losses")
+    """The same row when the cleaned table has been written and the raw rows counted."""
+    counted = cleaned.agg(
+        F.lit(raw_rows).cast("bigint").alias("raw_rows"),
+        F.count(F.lit(1)).alias("cleaned_rows"), F.count_if(F.col("profit") < 0).alias("losses"),
     )
-    both = before.unionByName(after, allowMissingColumns=True)
-    names = ("raw_rows", "cleaned_rows", "losses")
-    return _summary(both.agg(*[F.max(n).alias(n) for n in names]), raw, trim_columns)
+    return _summary(counted, raw, trim_columns)
 
 
 def _summary(counted: DataFrame, raw: DataFrame, trim_columns: list[str] | None) -> DataFrame:

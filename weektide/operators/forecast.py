@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,15 +14,17 @@ from weektide.operators.features import (
     DRIVER_LAGS,
     calendar_features,
     feature_columns,
-    lag_features,
-    rolling_features,
 )
 from weektide.operators.models import fit, ridge
 from weektide.schema import LAG_STEPS
 from weektide.sources.durable import durable
 
-# Status of the first step and of step h.
-OBSERVED, RECURSIVE = "Observed History", "Recursive ($h={step}$)"
+# Status of the first step and, around its number, of step h.
+OBSERVED, RECURSIVE = "Observed History", ("Recursive ($h=", "$)")
+#: Status of series that cannot be forecast.
+SHORT, NO_MODEL = "Insufficient History", "No Model"
+#: Steps after which the state of all series is stored.
+STORED_EVERY = 4
 
 #: Adds ``prediction`` to a table of predictors.
 Predict = Callable[[DataFrame], DataFrame]
@@ -105,68 +107,98 @@ def holdout_table(predicted: DataFrame, keys: list[str] | None = None) -> DataFr
     )
 
 
+def _coming(state: DataFrame, step: int) -> DataFrame:
+    """Predictors of the week ``step`` weeks after each series' last one, from the
+    array ``sales_back`` of its sales, newest first."""
+    back = F.col("sales_back")
+    rows = calendar_features(state.withColumn("date", F.date_add("last", 7 * step)))
+    lags = {f"sales_lag_{k}": F.get(back, F.lit(k - 1)) for k in LAG_STEPS}
+    oldest = f"sales_lag_{max(LAG_STEPS)}"
+    lags[oldest] = F.coalesce(lags[oldest], F.get(back, F.lit(0)))
+
+    def mean(width: int) -> Column:
+        return F.aggregate(F.slice(back, 1, width), F.lit(0.0), lambda a, v: a + v) / width
+
+    def spread(width: int) -> Column:
+        squares = F.aggregate(
+            F.transform(F.slice(back, 1, width), lambda v: (v - mean(width)) * (v - mean(width))),
+            F.lit(0.0), lambda a, v: a + v,
+        )
+        return F.sqrt(squares / (width - 1))
+
+    rolling = {
+        "mean_4": mean(4), "std_4": spread(4), "min_4": F.array_min(F.slice(back, 1, 4)),
+        "max_4": F.array_max(F.slice(back, 1, 4)), "mean_12": mean(12), "std_12": spread(12),
+    }
+    return rows.withColumns(
+        lags | {f"sales_rolling_{n}": rnd(v, 2) for n, v in rolling.items()}
+    )
+
+
 def recursive_forecast(
     features: DataFrame,
     model: PipelineModel | Predict,
     horizon_weeks: int = 12,
     keys: list[str] | None = None,
 ) -> DataFrame:
-    """1 to 12 weeks ahead for every series; each step feeds on the steps before.
-
-    A step appends one open week to the last year of each series, runs the same
-    predictor functions as training and predicts all series in one distributed
-    pass.  The step's result (one row per series) is stored reliably, so plans
-    stay short and a lost executor repeats one step at most.  Driver predictors
-    keep the mean of their last four weeks.  ``sales_lag_52`` falls back to the
-    last value while a series is younger than a year; series with fewer than
-    twelve rows get no forecast.
+    """Any number of weeks ahead for every series; each step feeds on the steps before.
+
+    The state of a series is one row: its last year of sales as an array, newest
+    first, and its driver predictors, which keep the mean of their last four weeks.  A
+    step computes the predictors from the array, predicts all series in one
+    distributed pass and puts the prediction in front; no step shuffles.  Lineage is
+    cut every few steps.  ``sales_lag_52`` falls back to the last value while a series
+    is younger than a year.  A series with fewer than twelve rows, or without a model,
+    gets its rows with a status that says so and no prediction.
     """
-    if not 1 <= horizon_weeks <= 12:
-        raise ValueError("horizon_weeks must be between 1 and 12")
+    if horizon_weeks < 1:
+        raise ValueError("horizon_weeks must be at least 1")
     keys = list(keys or [])
     predict = model.transform if isinstance(model, PipelineModel) else model
     reach, drivers = max(LAG_STEPS), list(DRIVER_LAGS)
     newest = W.partitionBy(*keys).orderBy(F.desc("date"))
-    recent = durable(
+    recent = (
         features.select(*keys, "date", F.col("sales").cast("double"), *drivers)
         .withColumn("age", F.row_number().over(newest)).filter(F.col("age") <= reach)
     )
     means = [F.avg(F.when(F.col("age") <= 4, F.col(d))).alias(d) for d in drivers]
-    open_weeks = durable(
-        recent.groupBy(*keys).agg(F.max("date").alias("last"), *means)
+    by_age = F.array_sort(F.collect_list(F.struct("age", "sales")))
+    state = durable(
+        recent.groupBy(*keys).agg(
+            F.max("date").alias("last"), F.transform(by_age, lambda x: x["sales"]).alias("sales_back"),
+            *means,
+        )
     )
-    history = recent.select(*keys, "date", "sales")
-    steps = []
+    columns = state.columns
+    short = state.filter(F.size("sales_back") < 12).select(
+        *keys, "last", F.lit(SHORT).alias("problem"),
+        F.array_repeat(F.lit(None).cast("double"), horizon_weeks).alias("made"),
+    )
+    state = state.filter(F.size("sales_back") >= 12)
     for step in range(1, horizon_weeks + 1):
-        target = F.date_add("last", 7 * step)
-        blank = open_weeks.select(
-            *keys, target.alias("date"), F.lit(None).cast("double").alias("sales"), *drivers
-        )
-        known = history.select("*", *[F.lit(None).cast("double").alias(d) for d in drivers])
-        rows = calendar_features(known.unionByName(blank))
-        rows = rolling_features(lag_features(rows, keys), keys)
-        rows = rows.withColumn(
-            f"sales_lag_{reach}", F.coalesce(f"sales_lag_{reach}", "sales_lag_1")
-        )
-        # Only the open week has driver values.
-        ready = rows.filter(F.col("sales").isNull()).drop("sales").na.drop()
-        result = durable(
-            predict(ready).select(
-                *keys, "date", F.greatest(F.col("prediction"), F.lit(0.0)).alias("sales")
-            )
+        made = predict(_coming(state, step)).withColumn(
+            "made", F.when(F.col("prediction").isNotNull(), F.greatest("prediction", F.lit(0.0)))
         )
-        history = history.unionByName(result)
-        status = OBSERVED if step == 1 else RECURSIVE.format(step=step)
-        steps.append(
-            result.select(
-                *keys, F.lit(step).alias("horizon_step"), F.col("date").alias("forecast_date"),
-                rnd(F.col("sales"), 2).alias("predicted_sales"), F.lit(status).alias("lag_status"),
-            )
+        state = made.withColumn("sales_back", F.concat(F.array("made"), "sales_back")).select(*columns)
+        if step % STORED_EVERY == 0:
+            state = durable(state)
+    done = state.select(
+        *keys, "last", F.lit(None).cast("string").alias("problem"),
+        F.reverse(F.slice("sales_back", 1, horizon_weeks)).alias("made"),
+    )
+    step, sales = F.col("pos") + 1, F.col("col")
+    status = F.when(step == 1, OBSERVED).otherwise(
+        F.concat(F.lit(RECURSIVE[0]), step.cast("string"), F.lit(RECURSIVE[1]))
+    )
+    status = F.coalesce("problem", F.when(sales.isNull(), NO_MODEL), status)
+    return (
+        done.unionByName(short).select(*keys, "last", "problem", F.posexplode("made"))
+        .select(
+            *keys, step.cast("int").alias("horizon_step"),
+            F.date_add("last", (step * 7).cast("int")).alias("forecast_date"),
+            rnd(sales, 2).alias("predicted_sales"), status.alias("lag_status"),
         )
-    out = steps[0]
-    for part in steps[1:]:
-        out = out.unionByName(part)
-    return out
+    )
 
 
 def forecast_summary(

@@ -13,14 +13,17 @@ _IDS = {
 }
 
 
-def core_kpis(df: DataFrame, approximate: float | None = None) -> DataFrame:
+def core_kpis(
+    df: DataFrame, approximate: float | None = None, ids: DataFrame | None = None
+) -> DataFrame:
     """Totals, distinct counts, per-order averages and margin, rounded to cents.
 
     The mean of the per-order sums equals what rows with an order add up to
     over the number of orders, so no per-order table is built.  The three
     distinct counts share a second, narrow pass: next to the sums, Spark would
     drag all accumulators through the shuffle of the ids.  ``approximate`` (a
-    relative error) replaces exact counts by sketches.
+    relative error) replaces exact counts by sketches.  ``ids`` is the same table
+    projected to the ids: each pass then reads, and joins, only what it uses.
     """
     has_order = F.col("order_id").isNotNull()
     sums = {
@@ -30,7 +33,7 @@ def core_kpis(df: DataFrame, approximate: float | None = None) -> DataFrame:
         "order_sales": total(F.when(has_order, F.col("sales"))),
         "order_profit": total(F.when(has_order, F.col("profit"))),
     }
-    counted = cardinalities(df, list(_IDS), approximate).agg(
+    counted = cardinalities(df if ids is None else ids, list(_IDS), approximate).agg(
         *[
             F.max(F.when(F.col("column") == i, F.col("distinct_values"))).alias(n)
             for i, n in _IDS.items()

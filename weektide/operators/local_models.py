@@ -59,12 +59,21 @@ def _dot(columns: list[str]) -> Column:
 def predict_local(
     rows: DataFrame, models: DataFrame, keys: list[str], columns: list[str] | None = None
 ) -> DataFrame:
-    """Add ``prediction`` from the model of each row's series."""
+    """Add ``prediction`` from the model of each row's series; NULL where it has none."""
     names = columns or feature_columns(rows, keys)
-    joined = rows.join(models.drop("n"), keys)
+    joined = rows.join(models.drop("n"), keys, "left")
     return joined.withColumn("prediction", _dot(names)).drop("intercept", "coefficients")
 
 
+def local_metrics(predicted: DataFrame, by: list[str]) -> DataFrame:
+    """Metrics per combination of ``by``, and how many of its rows have no prediction."""
+    gaps = predicted.groupBy(*by).agg(
+        F.count_if(F.col("prediction").isNull()).alias("unpredicted")
+    )
+    measured = forecast_metrics(predicted.filter("prediction is not null"), by)
+    return gaps.join(measured, by, "left")
+
+
 def backtest_local(
     train: DataFrame, keys: list[str], folds: int = 5, alpha: float = 10.0
 ) -> DataFrame:
@@ -74,4 +83,4 @@ def backtest_local(
     by = [*keys, "fold"]
     models = fit_local_ridge(folded.filter("role = 'train'").drop("role"), by, alpha)
     val = predict_local(folded.filter("role = 'val'").drop("role"), models, by, columns)
-    return forecast_metrics(val, by)
+    return local_metrics(val, by)

@@ -31,6 +31,7 @@ from weektide.operators.evaluate import (
     expanding_folds,
     forecast_metrics,
     mean_of_folds,
+    require_both_roles,
     with_baselines,
 )
 from weektide.operators.features import feature_columns
@@ -138,6 +139,7 @@ def fit_holdout(
     keys = list(keys or [])
     columns = feature_columns(features, keys)
     split = durable(chronological_split(features, test_year))
+    require_both_roles(split)
     train, test = split.filter("role = 'train'"), split.filter("role = 'test'")
     chosen = MODELS if models is None else models
 

@@ -133,8 +133,14 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def overview(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(metric, value)``: rows, distinct members, first, last and active days."""
+def overview(
+    df: DataFrame, columns: list[str], members: DataFrame | None = None
+) -> DataFrame:
+    """``(metric, value)``: rows, distinct members, first, last and active days.
+
+    ``members`` is the same table projected to ``columns`` and the date; ``df`` then
+    needs the date only.
+    """
     basic = df.agg(
         F.count(F.lit(1)).cast("string").alias("transactions"),
         F.min("order_date").cast("string").alias("first_order_date"),
@@ -143,7 +149,7 @@ def overview(df: DataFrame, columns: list[str]) -> DataFrame:
     rows = basic.unpivot(
         [], ["transactions", "first_order_date", "last_order_date"], "metric", "value"
     )
-    distinct = cardinalities(df, [*columns, "order_date"]).select(
+    distinct = cardinalities(df if members is None else members, [*columns, "order_date"]).select(
         F.concat(F.lit("unique_"), "column").alias("metric"),
         F.col("distinct_values").cast("string").alias("value"),
     )

@@ -29,7 +29,8 @@ FROM t) SELECT * FROM a, b""",
 )
 def _(spark, path):
     return kpis.core_kpis(
-        table(spark, path, "order_id", "customer_id", "product_id", "sales", "profit", "quantity")
+        table(spark, path, "order_id", "sales", "profit", "quantity"),
+        ids=table(spark, path, "order_id", "customer_id", "product_id"),
     )
 
 
@@ -311,17 +312,13 @@ def _(spark, path):
     return B.topk_share(table(spark, path, "state", "sales", "profit"), "state", 5)
 
 
-_SPAN = list(range(1995, 2002))
-
-
 @query(
     "month_year_pivot",
-    f"""{S.WITH_T} SELECT month(order_date) AS month, """ + ", ".join(
-        f"CAST(sum(sales) FILTER (year(order_date) = {y}) AS DOUBLE) AS y{y}" for y in _SPAN
-    ) + " FROM t GROUP BY 1",
+    S.WITH_T + """SELECT month(order_date) AS month, year(order_date) AS year,
+       CAST(sum(sales) AS DOUBLE) AS sales FROM t GROUP BY ALL""",
 )
 def _(spark, path):
-    return B.month_year_pivot(table(spark, path, "order_date", "sales"), _SPAN)
+    return B.month_year_sales(table(spark, path, "order_date", "sales"))
 
 
 _M = ["sales", "quantity", "discount", "profit"]

@@ -12,10 +12,6 @@ from weektide.plans.catalog_evaluation import TEST_YEAR
 from weektide.plans.registry import query, series_table
 from weektide.sources.durable import durable
 
-# The two models that fit in seconds; the comparison and the backtest run all four.
-_QUICK = {name: M.MODELS[name] for name in ("Ridge Regression", "Random Forest")}
-
-
 def _features(spark, path, keys=()):
     """The feature table, stored before any model reads it many times."""
     return durable(build_features(series_table(spark, path, *keys), list(keys)))
@@ -50,7 +46,7 @@ def _(spark, path):
 
 @query("cv_summary")
 def _(spark, path):
-    return E.mean_of_folds(M.cross_validate(_train(_features(spark, path)), 5, _QUICK))
+    return E.mean_of_folds(M.cross_validate(_train(_features(spark, path)), 5, parallelism=8))
 
 
 @query("backtest_models")
@@ -65,12 +61,12 @@ def _(spark, path):
 
 @query("best_model")
 def _(spark, path):
-    return E.best_model(M.compare_models(_features(spark, path), TEST_YEAR, 5, _QUICK))
+    return E.best_model(M.compare_models(_features(spark, path), TEST_YEAR, parallelism=8))
 
 
 @query("improvement")
 def _(spark, path):
-    return E.improvement(M.compare_models(_features(spark, path), TEST_YEAR, 5, _QUICK))
+    return E.improvement(M.compare_models(_features(spark, path), TEST_YEAR, parallelism=8))
 
 
 @query("feature_importance")
@@ -122,7 +118,7 @@ def _(spark, path):
     models = durable(L.fit_local_ridge(features, keys))
     columns = feature_columns(features, keys)
     return FC.recursive_forecast(
-        features, lambda rows: L.predict_local(rows, models, keys, columns), 6, keys
+        features, lambda rows: L.predict_local(rows, models, keys, columns), 12, keys
     )
 
 
@@ -134,7 +130,7 @@ def _(spark, path):
     ))
     train, test = (split.filter(f"role = '{r}'").drop("role") for r in ("train", "test"))
     predicted = L.predict_local(test, L.fit_local_ridge(train, keys), keys)
-    return E.forecast_metrics(predicted, keys)
+    return L.local_metrics(predicted, keys)
 
 
 @query("local_ridge_backtest")

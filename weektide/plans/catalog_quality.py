@@ -349,7 +349,8 @@ UNION ALL SELECT 'last_order_date', CAST(max(order_date) AS VARCHAR) FROM t
     ),
 )
 def _(spark, path):
-    return profile.overview(table(spark, path, *_COUNTED, "order_date"), _COUNTED)
+    members = table(spark, path, *_COUNTED, "order_date")
+    return profile.overview(table(spark, path, "order_date"), _COUNTED, members)
 
 
 def _double_entry(spark, path):

@@ -5,7 +5,7 @@ Each stage reads and writes tables, so a stage can be repeated on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weektide.operators import cleaning, evaluate, forecast, leakage, models, quality, residuals
@@ -13,7 +13,7 @@ from weektide.operators.features import build_features, feature_columns
 from weektide.schema import DOMAINS
 from weektide.session import tune
 from weektide.sources import files, sinks
-from weektide.sources.durable import durable
+from weektide.sources.durable import durable, stored
 
 
 def run_cleaning(
@@ -25,24 +25,35 @@ def run_cleaning(
 ) -> DataFrame:
     """Raw CSV to cleaned Parquet; ``strict`` raises on broken rules.
 
-    The rules are checked on the written table: the file is parsed once.
-    Returns the cleaning summary.
+    The file is parsed once: rows and unreadable values are counted while the cleaned
+    table is written to the shared folder.  The rules are checked there, and only a
+    table that keeps them replaces what lies under ``out_path``.  Returns the cleaning
+    summary.
     """
-    raw = files.scan_raw_csv(tune(spark), raw_path)
-    sinks.write_cleaned(cleaning.clean(raw), out_path)
-    cleaned = spark.read.parquet(out_path)
+    raw = files.scan_raw_csv(tune(spark), raw_path, typed=False)
+    seen = Observation("raw")
+    counts = {f"unreadable_{c}": n for c, n in cleaning.unreadable(raw).items()}
+    watched = raw.observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[n.alias(c) for c, n in counts.items()]
+    )
+    cleaned = stored(cleaning.clean(watched), "cleaned")
     if strict:
+        found = seen.get
+        broken = {c: found[c] for c in counts if found[c]}
+        if broken:
+            raise ValueError(f"data quality: {broken}")
         rules = quality.numeric_bounds(cleaned).unionByName(quality.chronology(cleaned))
         if domains:
-            found = quality.domains(cleaned, domains, exact=False)
+            inside = quality.domains(cleaned, domains, exact=False)
             rules = rules.unionByName(
-                found.select(
+                inside.select(
                     F.concat(F.lit("domain_"), "column").alias("check"),
                     F.col("unexpected").cast("double").alias("value"), "passed",
                 )
             )
         quality.enforce(rules)
-    return cleaning.stored_cleaning_summary(raw, cleaned)
+    sinks.write_cleaned(cleaned, out_path)
+    return cleaning.stored_cleaning_summary(raw, seen.get["rows"], cleaned)
 
 
 def run_features(
@@ -75,6 +86,15 @@ def run_training(
 
     baselines = durable(evaluate.evaluate_baselines(features, test_year, folds))
     sinks.write_table(baselines, f"{out_folder}/baselines", "json")
+    formula = F.element_at(
+        F.create_map(*[F.lit(x) for n, c in evaluate.BASELINES.items() for x in (n, f"prediction = {c}")]),
+        F.col("model"),
+    )
+    sinks.write_table(
+        evaluate.with_baselines(split.filter("role = 'test'"))
+        .select("model", formula.alias("formula"), "date", "sales", "prediction"),
+        f"{out_folder}/baseline_predictions", "json",
+    )
 
     fold_metrics = durable(models.backtest(train, folds, chosen, None, parallelism))
     folded = evaluate.expanding_folds(train, folds)
@@ -112,11 +132,19 @@ def run_training(
 
     final = forecast.train_final_model(features)
     sinks.save_models({"final model": final}, f"{out_folder}/models")
-    measured = None
+    sinks.write_table(
+        forecast.forecast_year(features, final, test_year), f"{out_folder}/example_forecast", "csv"
+    )
+    measured = summary = None
     if "Ridge Regression" in chosen:
-        measured = evaluate.forecast_metrics(predicted.filter("model = 'Ridge Regression'"))
+        ridge = F.col("model") == "Ridge Regression"
+        verdicts = comparison.filter(ridge).select("model", "beats_naive", "beats_seasonal_naive")
+        measured = evaluate.forecast_metrics(predicted.filter(ridge), ["model"])
+        measured = measured.join(verdicts, "model").drop("model")
+        summary = evaluate.backtest_summary(fold_metrics).filter(ridge)
     sinks.write_table(
-        forecast.model_metadata(features, 10.0, measured), f"{out_folder}/model_metadata", "json"
+        forecast.model_metadata(features, 10.0, measured, summary),
+        f"{out_folder}/model_metadata", "json",
     )
     return spark.read.parquet(f"{out_folder}/model_comparison").orderBy("test_mae")
 

@@ -4,63 +4,77 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weektide.functions.dates import parse_mixed_date, year_month
-from weektide.schema import RAW_SCHEMA, canonical_name, require_columns
+from weektide.schema import RAW_SCHEMA, canonical_name, require_columns, text_columns
 
 
 def scan_raw_csv(
     spark: SparkSession,
     path: str,
-    encoding: str = "iso-8859-1",
+    encoding: str = "windows-1252",
     parse_dates: bool = True,
     mode: str = "PERMISSIVE",
+    typed: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every row of a raw transaction CSV, under canonical names.
 
     A missing path raises on call.  ``mode='FAILFAST'`` makes an undecodable
-    record an error.  ``iso-8859-1`` equals the usual single-byte Windows
-    encoding outside bytes 0x80-0x9F; a session with
-    ``spark.sql.legacy.javaCharsets=true`` may pass ``windows-1252``.
+    record an error.  ``typed=False`` leaves every column as written.
+    ``multi_line`` reads quoted line breaks as part of a value; a file is then read
+    by one task.
     """
+    windows = encoding.lower() in ("windows-1252", "cp1252")
+    schema = RAW_SCHEMA
+    if not typed:
+        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA.fields])
     raw = (
-        spark.read.schema(RAW_SCHEMA)
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
-        .option("encoding", encoding)
+        .option("encoding", "iso-8859-1" if windows else encoding)
+        .option("multiLine", multi_line)
         .option("mode", mode)
         .csv(path)
     )
     out = raw.toDF(*[canonical_name(c) for c in raw.columns])
-    if not parse_dates:
+    if windows:
+        out = out.withColumns({c: _from_windows(F.col(c)) for c in text_columns(out)})
+    if not (parse_dates and typed):
         return out
     return out.withColumns(
         {c: parse_mixed_date(F.col(c)) for c in ("order_date", "ship_date")}
     )
 
 
-def file_fingerprints(
-    spark: SparkSession, path: str, largest: int = 1 << 30
-) -> DataFrame:
+def _from_windows(text: Column) -> Column:
+    """Text read byte by byte as ISO-8859-1, as Windows-1252 means it.
+
+    The two differ in the bytes 0x80-0x9F only, of which five have no meaning and stay.
+    """
+    both = [
+        (chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)
+    ]
+    both = [(a, b) for a, b in both if b]
+    return F.translate(text, "".join(a for a, _ in both), "".join(b for _, b in both))
+
+
+def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """Size and SHA-256 of each file under ``path``.
 
-    A digest needs the whole file in one row, so files above ``largest`` bytes get
-    their size only; the length filter reaches the source, which then leaves
-    their content unread.
+    A digest needs the whole file in one row; a file beyond what Spark's binary
+    source reads (2 GB) makes the query fail with its path.
     """
     files = spark.read.format("binaryFile").load(path)
-    size = F.col("length").alias("size_bytes")
-    hashed = files.filter(F.col("length") <= largest).select(
-        "path", size, F.sha2("content", 256).alias("sha256")
-    )
-    listed = files.filter(F.col("length") > largest).select(
-        "path", size, F.lit(None).cast("string").alias("sha256")
+    return files.select(
+        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
     )
-    return hashed.unionByName(listed)
 
 
 def with_calendar(df: DataFrame, date_col: str = "order_date") -> DataFrame:
