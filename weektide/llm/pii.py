@@ -233,8 +233,8 @@ def _iban(text: Column, key: str) -> Column:
     return F.when(valid, F.element_at(F.transform(moved, out), 1)).otherwise(text)
 
 
-# Days from 1900-01-01 to 2099-12-31: 73 049 = 229 * 319, so a day is a pair of numbers.
-_DAY_BASES = (229, 319)
+# Days from 1900-01-01 to 2099-12-31: 73 049 = 17 * 4297, so a day is a pair of numbers.
+_DAY_BASES = (17, 4297)
 
 
 def _date(text: Column, key: str) -> Column:
