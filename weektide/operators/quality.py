@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from weektide.functions.numeric import fixed_mean, rnd
 from weektide.functions.text import has_margin_space
-from weektide.schema import text_columns
+from weektide.schema import schema_difference, text_columns
 
 
 @dataclass(frozen=True)
@@ -284,24 +284,63 @@ def cardinalities(
     return seen.groupBy("column").agg(F.count("value").alias("distinct_values"))
 
 
+def _schema_checks(df: DataFrame, expected: list[str] | None) -> list[Check]:
+    if expected is None:
+        return []
+    missing, unexpected = schema_difference(df, expected)
+    return [
+        Check("missing_columns", F.max(F.lit(len(missing))), _is_zero, "schema"),
+        Check("unexpected_columns", F.max(F.lit(len(unexpected))), _is_zero, "schema"),
+    ]
+
+
+def _span_checks() -> list[Check]:
+    """First and last days (counted from 1970-01-01) and lead times in days."""
+    lead = F.datediff("ship_date", "order_date")
+    figures = {}
+    for name in ("order", "ship"):
+        day = F.unix_date(f"{name}_date")
+        figures |= {f"first_{name}_day": F.min(day), f"last_{name}_day": F.max(day)}
+    figures |= {
+        "min_lead_days": F.min(lead), "max_lead_days": F.max(lead),
+        "mean_lead_days": rnd(F.avg(lead), 2),
+    }
+    return [Check(n, c, None, "date_span") for n, c in figures.items()]
+
+
+def _range_checks() -> list[Check]:
+    out = []
+    for c in ("sales", "quantity", "discount", "profit"):
+        figures = {"min": F.min(c), "max": F.max(c), "mean": rnd(fixed_mean(F.col(c)), 2)}
+        out += [Check(f"{c}_{n}", v, None, "ranges") for n, v in figures.items()]
+    return out
+
+
 def report(
     df: DataFrame,
     expected_domains: dict[str, list[str]],
     rows: int | None = None,
     columns: int | None = None,
+    expected_columns: list[str] | None = None,
+    counted: list[str] | None = None,
 ) -> DataFrame:
     """All checks as ``(section, check, value, passed)``.
 
-    Three passes: one for every scalar check, one for the domains, one for the
-    duplicates.
+    Passes: one for every scalar check, one for the domains, one for the distinct
+    members of the ``counted`` columns, one for the duplicates.
     """
     scalar = _run(
         df,
         [
-            *_dimension_checks(df, rows, columns), *_null_checks(df),
-            *_chronology_checks(), *_numeric_checks(), *_space_checks(text_columns(df)),
+            *_schema_checks(df, expected_columns), *_dimension_checks(df, rows, columns),
+            *_null_checks(df), *_chronology_checks(), *_span_checks(), *_numeric_checks(),
+            *_range_checks(), *_space_checks(text_columns(df)),
         ],
     )
+    members = cardinalities(df, counted or []).select(
+        F.lit("cardinality").alias("section"), F.concat(F.lit("unique_"), "column").alias("check"),
+        F.col("distinct_values").cast("double").alias("value"), F.lit(True).alias("passed"),
+    ) if counted else scalar.limit(0)
     by_column = domains(df, expected_domains).select(
         F.lit("categoricals").alias("section"),
         F.concat(F.lit("domain_"), "column").alias("check"),
@@ -311,7 +350,7 @@ def report(
     repeated = duplicates(df).withColumn("section", F.lit("duplicates"))
     return (
         scalar.filter((F.col("section") != "whitespace") | (F.col("value") > 0))
-        .unionByName(repeated).unionByName(by_column)
+        .unionByName(repeated).unionByName(by_column).unionByName(members)
     )
 
 

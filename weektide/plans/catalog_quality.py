@@ -8,7 +8,7 @@ from weektide.functions import dates, text
 from weektide.operators import cleaning, profile, quality, slicing
 from weektide.plans import sql as S
 from weektide.plans.registry import query, table
-from weektide.sources.files import with_calendar
+from weektide.sources.files import file_fingerprints, with_calendar
 from weektide.sources.star import COLUMNS
 
 # Members of the controlled columns of the star schema.  One member of each list
@@ -306,22 +306,25 @@ def _(spark, path):
     return found.filter("status = 'unexpected'").drop("status")
 
 
+_TEXTS = [
+    "ship_mode", "customer_name", "segment", "state", "region", "category", "sub_category",
+    "product_name",
+]
+
+
 @query(
     "dq_whitespace",
     f"""{S.WITH_T} SELECT 'product_name' AS "column", count(*) AS rows FROM t
 WHERE quantity > 25""",
 )
 def _(spark, path):
-    t = table(spark, path, "state", "segment", "category", "product_name", "quantity")
+    t = table(spark, path, *_TEXTS, "quantity")
     padded = F.when(F.col("quantity") > 25, F.concat("product_name", F.lit(" ")))
     return quality.whitespace(
-        t.withColumn("product_name", F.coalesce(padded, "product_name"))
+        t.withColumn("product_name", F.coalesce(padded, "product_name")), _TEXTS
     )
 
 
-_TEXTS = ["state", "region", "segment", "category", "sub_category", "product_name"]
-
-
 @query(
     "dq_case",
     S.WITH_T + " UNION ALL ".join(
@@ -383,6 +386,16 @@ def _(spark, path):
     return cleaning.cleaning_summary(_double_entry(spark, path))
 
 
+_SPANS = {
+    f"{side}_{name}_day": f"CAST(date_diff('day', DATE '1970-01-01', CAST({fn}({name}_date) AS DATE)) AS DOUBLE)"
+    for name in ("order", "ship") for side, fn in (("first", "min"), ("last", "max"))
+} | {
+    "min_lead_days": "CAST(min(ship_date - order_date) AS DOUBLE)",
+    "max_lead_days": "CAST(max(ship_date - order_date) AS DOUBLE)",
+    "mean_lead_days": S.rnd(S.ratio("sum(ship_date - order_date)", "count(ship_date - order_date)")),
+}
+
+
 @query(
     "dq_report",
     f"""{S.WITH_T}, n AS ({_NULLS}), d AS ({_DOMAINS})
@@ -394,10 +407,34 @@ UNION ALL SELECT 'duplicates', * FROM ({_DUPLICATES})
 UNION ALL SELECT 'dates', * FROM ({_CHRONOLOGY})
 UNION ALL SELECT 'numerics', * FROM ({_NUMERIC})
 UNION ALL SELECT 'categoricals', 'domain_' || "column", CAST(unexpected + missing AS DOUBLE),
-       unexpected = 0 AND missing = 0 FROM d""",
+       unexpected = 0 AND missing = 0 FROM d
+UNION ALL SELECT 'schema', 'missing_columns', 0.0::DOUBLE, true
+UNION ALL SELECT 'schema', 'unexpected_columns', 0.0::DOUBLE, true
+""" + "".join(
+        f"UNION ALL SELECT 'date_span', '{n}', {sql}, true FROM t\n"
+        for n, sql in _SPANS.items()
+    ) + "".join(
+        f"UNION ALL SELECT 'ranges', '{c}_{n}', {sql}, true FROM t\n"
+        for c in ("sales", "quantity", "discount", "profit")
+        for n, sql in (
+            ("min", f"CAST(min({c}) AS DOUBLE)"), ("max", f"CAST(max({c}) AS DOUBLE)"),
+            ("mean", S.rnd(S.ratio(f"sum({c})", f"count({c})"))),
+        )
+    ) + "".join(
+        f"UNION ALL SELECT 'cardinality', 'unique_{c}', CAST(count(DISTINCT {c}) AS DOUBLE), true FROM t\n"
+        for c in _COUNTED
+    ),
 )
 def _(spark, path):
-    return quality.report(table(spark, path), STAR_DOMAINS, columns=len(COLUMNS))
+    return quality.report(
+        table(spark, path), STAR_DOMAINS, columns=len(COLUMNS),
+        expected_columns=list(COLUMNS), counted=_COUNTED,
+    )
+
+
+@query("file_digests")
+def _(spark, path):
+    return file_fingerprints(spark, f"{path}/lineitem.parquet")
 
 
 def _describe_sql(c: str) -> str:
