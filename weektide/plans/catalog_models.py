@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from weektide.functions.numeric import rnd
 from weektide.operators import evaluate as E
 from weektide.operators import forecast as FC
 from weektide.operators import local_models as L
 from weektide.operators import models as M
 from weektide.operators import residuals as R
 from weektide.operators.features import build_features, feature_columns
+from weektide.plans import sql as S
 from weektide.plans.catalog_evaluation import TEST_YEAR
 from weektide.plans.registry import query, series_table
 from weektide.sources.durable import durable
@@ -145,3 +149,94 @@ def _(spark, path):
     holdout = _holdout("Ridge Regression")(spark, path)
     out = FC.model_metadata(features, 10.0, holdout.select(*E.METRICS)).drop("created_at")
     return out.select("*", "holdout.*").drop("holdout", "features")
+
+
+# Models that SQL can say: a recursive mean, and a ridge on two predictors.
+
+_TWO = ["sales_lag_1", "sales_rolling_mean_4"]
+
+
+@query(
+    "recursive_mean_forecast",
+    S.features(["category"]).replace("WITH ", "WITH RECURSIVE ", 1) + f""", h AS (
+  SELECT category, max(date) AS last, list(sales ORDER BY date DESC)[1:4] AS b FROM f GROUP BY category
+), r AS (
+  SELECT category, last, 1 AS step, {S.rnd('list_sum(b) / 4.0')} AS p, b FROM h
+  UNION ALL
+  SELECT category, last, step + 1, {S.rnd('(p + b[1] + b[2] + b[3]) / 4.0')}, [p, b[1], b[2], b[3]]
+  FROM r WHERE step < 16
+)
+SELECT category, CAST(step AS BIGINT) AS horizon_step, CAST(last + CAST(7 * step AS INTEGER) AS VARCHAR) AS forecast_date,
+       p AS predicted_sales,
+       CASE WHEN step = 1 THEN 'Observed History' ELSE 'Recursive ($h=' || step || '$)' END AS lag_status
+FROM r""",
+)
+def _(spark, path):
+    keys = ["category"]
+    return FC.recursive_forecast(
+        _features(spark, path, keys),
+        lambda rows: rows.withColumn("prediction", F.col("sales_rolling_mean_4")), 16, keys,
+    )
+
+
+def _ridge_sql(keys: list[str]) -> str:
+    """CTEs ``t`` … ``m``: the closed form of a standardised ridge with penalty 10."""
+    head = "".join(f"{k}, " for k in keys)
+    group = "GROUP BY ALL" if keys else ""
+    x, z = _TWO
+    return S.split(TEST_YEAR, keys) + f""", g AS (
+  SELECT {head}count(*) AS n, avg({x}) AS m1, avg({z}) AS m2, avg(sales) AS m,
+         stddev_pop({x}) AS s1, stddev_pop({z}) AS s2, covar_pop({x}, {z}) AS c12,
+         covar_pop({x}, sales) AS c1, covar_pop({z}, sales) AS c2
+  FROM s WHERE role = 'train' {group}
+), k AS (
+  SELECT *, n + 10.0 AS a, n * c12 / (s1 * s2) AS d, n * c1 / s1 AS y1, n * c2 / s2 AS y2 FROM g
+), c AS (
+  SELECT *, (a * y1 - d * y2) / (a * a - d * d) / s1 AS w1,
+         (a * y2 - d * y1) / (a * a - d * d) / s2 AS w2 FROM k
+), m AS (SELECT *, m - w1 * m1 - w2 * m2 AS w0 FROM c)
+"""
+
+
+def _two(spark, path, keys=()):
+    return _features(spark, path, keys).select(*keys, "date", "sales", *_TWO)
+
+
+@query(
+    "local_ridge_two",
+    _ridge_sql(["category"]) + f"""SELECT category, n, {S.rnd('w0')} AS intercept,
+       {S.rnd('w1', 6)} AS weight_1, {S.rnd('w2', 6)} AS weight_2 FROM m""",
+)
+def _(spark, path):
+    keys = ["category"]
+    models = L.fit_local_ridge(_train(_two(spark, path, keys)), keys)
+    return models.select(
+        "category", "n", rnd(F.col("intercept"), 2).alias("intercept"),
+        *[rnd(F.get("coefficients", F.lit(k)), 6).alias(f"weight_{k + 1}") for k in (0, 1)],
+    )
+
+
+_TWO_PREDICTED = _ridge_sql([]) + f""", x AS (
+  SELECT date, sales, w0 + w1 * {_TWO[0]} + w2 * {_TWO[1]} AS prediction
+  FROM s, m WHERE role = 'test')
+"""
+
+
+def _two_predicted(spark, path):
+    split = durable(E.chronological_split(_two(spark, path), TEST_YEAR))
+    fitted = M.fit(split.filter("role = 'train'"), M.ridge(), _TWO)
+    return fitted.transform(split.filter("role = 'test'")).select("date", "sales", "prediction")
+
+
+@query(
+    "ridge_two_holdout_table",
+    _TWO_PREDICTED + f"""SELECT CAST(date AS VARCHAR) AS date, {S.rnd('sales')} AS actual,
+       {S.rnd('prediction')} AS predicted, {S.rnd('abs(sales - prediction)')} AS absolute_error FROM x""",
+)
+def _(spark, path):
+    return FC.holdout_table(_two_predicted(spark, path))
+
+
+@query("ridge_two_metrics", _TWO_PREDICTED + f"SELECT {S.metrics()} FROM x")
+def _(spark, path):
+    return E.forecast_metrics(_two_predicted(spark, path))
