@@ -131,18 +131,14 @@ def discount_tiers(
 
 
 def yearly(df: DataFrame) -> DataFrame:
-    """Year totals, margin and growth over the year before."""
-    out = by_dimension(
-        df.withColumn("year", F.year("order_date")), ["year"],
-        ["sales", "profit", "orders", "quantity"],
-    )
+    """Year totals, margin and growth over the year before; without a margin, and
+    without a measure, where the table has no column for it."""
+    columns = {"sales": "sales", "profit": "profit", "orders": "order_id", "quantity": "quantity"}
+    measures = [m for m, c in columns.items() if c in df.columns]
+    out = by_dimension(df.withColumn("year", F.year("order_date")), ["year"], measures)
     before = F.lag("sales").over(W.orderBy("year"))
-    return out.withColumns(
-        {
-            "profit_margin_pct": _margin(),
-            "yoy_growth_pct": rnd((ratio(F.col("sales"), before) - 1) * 100, 2),
-        }
-    )
+    added = {"yoy_growth_pct": rnd((ratio(F.col("sales"), before) - 1) * 100, 2)}
+    return out.withColumns(({"profit_margin_pct": _margin()} if "profit" in measures else {}) | added)
 
 
 def overall_growth(df: DataFrame) -> DataFrame:

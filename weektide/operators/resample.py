@@ -54,6 +54,18 @@ def _resample(
     )
 
 
+def _measures(df: DataFrame, names: list[str]) -> dict[str, Column]:
+    """Aggregates of the named measures that the table has the column for."""
+    known = {
+        "sales": ("sales", lambda c: total(F.col(c))),
+        "profit": ("profit", lambda c: total(F.col(c))),
+        "quantity": ("quantity", lambda c: F.coalesce(F.sum(c), F.lit(0))),
+        "orders": ("order_id", F.count_distinct),
+        "avg_discount": ("discount", lambda c: F.coalesce(fixed_mean(F.col(c)), F.lit(0.0))),
+    }
+    return {n: known[n][1](known[n][0]) for n in names if known[n][0] in df.columns}
+
+
 def aggregate_by_time(
     df: DataFrame,
     freq: str = "ME",
@@ -62,16 +74,13 @@ def aggregate_by_time(
 ) -> DataFrame:
     """Sales, profit, quantity, orders and margin per bucket, gaps as 0.
 
-    ``orders`` is left out when the table has no ``order_id``.
+    A measure is left out when the table has no column for it, so a caller names
+    the columns it needs and joins nothing else.
     """
-    measures = {
-        "sales": total(F.col("sales")),
-        "profit": total(F.col("profit")),
-        "quantity": F.coalesce(F.sum("quantity"), F.lit(0)),
-    }
-    if "order_id" in df.columns:
-        measures["orders"] = F.count_distinct("order_id")
+    measures = _measures(df, ["sales", "profit", "quantity", "orders"])
     out = _resample(df, freq, list(keys or []), date_col, measures)
+    if "profit" not in measures:
+        return out
     return out.withColumn(
         "profit_margin_pct", percent_or_zero(F.col("profit"), F.col("sales"))
     )
@@ -86,16 +95,10 @@ def aggregate_to_weekly(
     """The weekly base table: weeks end on Sunday, empty weeks are 0.
 
     ``drop_partial`` leaves out a first or last week that the data enters or
-    leaves midway.
+    leaves midway.  A measure is left out when the table has no column for it.
     """
     keys = list(keys or [])
-    measures = {
-        "sales": total(F.col("sales")),
-        "profit": total(F.col("profit")),
-        "quantity": F.coalesce(F.sum("quantity"), F.lit(0)),
-        "orders": F.count_distinct("order_id"),
-        "avg_discount": F.coalesce(fixed_mean(F.col("discount")), F.lit(0.0)),
-    }
+    measures = _measures(df, ["sales", "profit", "quantity", "orders", "avg_discount"])
     if not drop_partial:
         return _resample(df, "W-SUN", keys, date_col, measures)
     measures["__first"] = F.min(date_col)

@@ -126,7 +126,7 @@ SELECT *, {S.rnd('active_days * 100.0::DOUBLE / span_days')} AS active_pct,
        {S.rnd('(span_days - active_days) * 100.0::DOUBLE / span_days')} AS zero_pct FROM a""",
 )
 def _(spark, path):
-    return resample.active_days(table(spark, path, "order_date", "sales", "profit", "quantity"))
+    return resample.active_days(table(spark, path, "order_date", "sales"))
 
 
 @query(
@@ -146,7 +146,7 @@ def _(spark, path):
     S.weekly() + f"SELECT {_DATE}, sales, {S.lag_list([])} FROM w",
 )
 def _(spark, path):
-    weekly = resample.aggregate_to_weekly(series_table(spark, path)).select("date", "sales")
+    weekly = resample.aggregate_to_weekly(table(spark, path, "order_date", "sales"))
     return FE.lag_features(weekly)
 
 
@@ -155,8 +155,8 @@ def _(spark, path):
     S.weekly(["region"]) + f"SELECT region, {_DATE}, sales, {S.rolling_list(['region'])} FROM w",
 )
 def _(spark, path):
-    weekly = resample.aggregate_to_weekly(series_table(spark, path, "region"), ["region"])
-    return FE.rolling_features(weekly.select("region", "date", "sales"), ["region"])
+    t = table(spark, path, "region", "order_date", "sales")
+    return FE.rolling_features(resample.aggregate_to_weekly(t, ["region"]), ["region"])
 
 
 @query(
@@ -175,7 +175,7 @@ def _(spark, path):
     ),
 )
 def _(spark, path):
-    weekly = resample.aggregate_to_weekly(series_table(spark, path)).select("date")
+    weekly = resample.aggregate_to_weekly(table(spark, path, "order_date", "sales")).select("date")
     return FE.calendar_features(weekly)
 
 
