@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from conftest import as_documents
 from weektide.llm import jaccard
@@ -53,7 +54,9 @@ def test_no_documents(no_documents):
     assert run(no_documents) == []
 
 
-def test_edits_around_the_threshold(spark):
+@pytest.mark.parametrize("most", [jaccard.MOST, 4])
+def test_edits_around_the_threshold(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "MOST", most)
     rng = random.Random(11)
     rows = []
     for group in range(12):

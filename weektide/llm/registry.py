@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weektide.session import tune
+from weektide.llm.store import tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(tune(spark), folder)
+            return fn(tuned(spark), folder)
 
         run.__name__ = name
         QUERIES[name] = run
