@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -252,26 +253,37 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     wanted = shuffle_width(docs.sparkSession)
     shares = [k / wanted for k in range(1, wanted)]
-    cuts = sorted(set(rows.select("at").approxQuantile("at", shares, 0.25 / wanted) if shares else []))
-    part = F.lit(0)
-    for k, cut in enumerate(cuts):
-        part = F.when(F.col("at") >= int(cut), k + 1).otherwise(part)
-    rows = rows.withColumn("part", part)
+    cuts = rows.select("at").approxQuantile("at", shares, 0.25 / wanted) if shares else []
+    cuts = np.unique(np.array(cuts, np.int64))
+
+    @F.pandas_udf("int")
+    def part_of(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, at, "right").astype(np.int32))
+
+    rows = rows.withColumn("part", part_of("at"))
     # Falling ids: a part's last row is followed by the first row of the next lower part
     # that has rows, and the last row of all by the first of all.
     tops = {r.part: r.top for r in rows.groupBy("part").agg(F.max("at").alias("top")).collect()}
-    there = sorted(tops, reverse=True)
-    after = {p: there[(k + 1) % len(there)] for k, p in enumerate(there)}
-    to = {after[p]: p for p in there}
-    edge = F.lit(False)
-    for p in there:
-        edge = edge | ((F.col("part") == p) & (F.col("at") == tops[p]))
-    heads = rows.where(edge).groupBy("part").agg(F.min(F.struct("at", "text", "doc")).alias("head"))
-    send = F.lit(None).cast("int")
-    for source, target in to.items():
-        send = F.when(F.col("part") == source, target).otherwise(send)
+    there = sorted(tops)
+    highest = np.full(len(cuts) + 1, lowest)
+    target = np.zeros(len(cuts) + 1, np.int32)
+    for k, p in enumerate(there):
+        highest[p], target[p] = tops[p], there[(k + 1) % len(there)]
+
+    @F.pandas_udf("boolean")
+    def is_top(part: pd.Series, at: pd.Series) -> pd.Series:
+        return pd.Series(highest[part] == at.to_numpy())
+
+    @F.pandas_udf("int")
+    def sent_to(part: pd.Series) -> pd.Series:
+        return pd.Series(target[part])
+
+    heads = (
+        rows.where(is_top("part", "at"))
+        .groupBy("part").agg(F.min(F.struct("at", "text", "doc")).alias("head"))
+    )
     copies = heads.select(
-        send.alias("part"), F.lit(1).alias("place"), "head.at", "head.doc", "head.text"
+        sent_to("part").alias("part"), F.lit(1).alias("place"), "head.at", "head.doc", "head.text"
     )
     return rows.select("part", F.lit(0).alias("place"), "at", "doc", "text").unionByName(copies)
 
