@@ -11,7 +11,8 @@ segments whose key another segment has too, or that contain their key's gram twi
 hold anything else; their bytes are fetched and dealt into groups of bounded size.
 
 *Within a group* the Burrows-Wheeler transform and common prefixes of all segments
-are built by inserting one symbol of each per round (``suffixes.suffix_order``).
+are built by inserting one symbol of each per round (``suffixes.suffix_order``); symbols are
+four bytes wide, and a segment takes part in each of its four alignments.
 Neighbours in suffix order that share ``LENGTH`` bytes are equal windows; all but the
 earliest go.  The sequential files of the published method are Spark's shuffle files: a
 group is read from them in one go and is small enough to stay in memory.
@@ -197,14 +198,44 @@ def _settle(table: pa.Table) -> pa.Table:
     })
 
 
+def _symbols(
+    text: np.ndarray, at: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The segments in symbols of several bytes: symbols, ends, where each begins, width.
+
+    Each segment is read once for every way to cut its end off before the last symbol,
+    so that all its bytes begin one symbol each.  Wide symbols make few rounds.  Four
+    bytes are taken, or two or one if there are too many different ones; all divide
+    ``LENGTH``, so a window is a whole number of symbols.
+    """
+    for width in (4, 2, 1):
+        size = np.repeat(np.diff(at), width)
+        left = np.tile(np.arange(width), len(at) - 1)
+        count = np.maximum(size - left, 0) // width
+        ends = np.cumsum(count)
+        first = np.repeat(at[1:], width) - left - width * count
+        spots = np.repeat(first, count) + width * (
+            np.arange(int(count.sum())) - np.repeat(ends - count, count)
+        )
+        value = np.zeros(len(spots), np.uint32)
+        for k in range(width):
+            value = value << np.uint32(8) | text[spots + k]
+        used, symbols = np.unique(value, return_inverse=True)
+        if len(used) < 65_535:
+            return symbols, ends, spots, width
+    raise AssertionError("bytes have at most 256 values")
+
+
 def _group(table: pa.Table) -> pa.Table:
     """Windows of a group of segments that also start earlier, as spans of bytes."""
     doc, tag, start = (table.column(c).to_numpy() for c in ("doc", "tag", "start"))
     text, at = utf8(pa.concat_arrays(table.column("bytes").chunks))
-    place, common = suffix_order(text, at[1:], LENGTH)
+    symbols, ends, spots, width = _symbols(text, at)
+    place, common = suffix_order(symbols, ends, LENGTH // width)
+    place = spots[place]
     owner = np.searchsorted(at, place, "right") - 1
     whole = at[owner + 1] - place >= LENGTH
-    group = np.cumsum(common < LENGTH)
+    group = np.cumsum(common < LENGTH // width)
     size = np.bincount(group[whole], minlength=group[-1] + 1 if len(group) else 0)
     rows = np.flatnonzero(whole)
     rows = rows[size[group[rows]] > 1]

@@ -9,7 +9,8 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.nda
     """Begins of all suffixes of the strings in sorted order, and the common prefix of
     each with the one before, counted up to ``limit``.
 
-    ``text`` holds the strings one after another and ``ends`` where each ends.  Round
+    ``text`` holds the symbols (below 65 535) of the strings one after another and
+    ``ends`` where each ends.  Round
     ``j`` inserts the suffix of length ``j`` of every string that has one.  The
     transform lists, in the order of the suffixes there are, the symbol before each.
     Its entries with a symbol, sorted by it (equal ones as they stand), are just the
@@ -23,8 +24,8 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.nda
     place = ends.copy()  # begin of the suffix at each rank
     common = np.zeros(n, np.uint8)
     # The symbol before each suffix, plus one; 0 at a string's begin.
-    before = np.where(ends > begins, text[np.maximum(ends - 1, 0)].astype(np.uint16) + 1, 0)
-    before = before.astype(np.uint16)
+    text = np.append(text.astype(np.uint16) + np.uint16(1), np.uint16(0))
+    before = np.where(ends > begins, text[ends - 1], np.uint16(0))
     latest = np.ones(n, bool)
     owner_begin = begins.copy()  # begin of the string of each suffix inserted last, by rank
     while True:
@@ -49,7 +50,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.nda
             least = np.minimum.reduceat(padded, bounds)[0::2]
             share[turn] = np.minimum(least.astype(np.int64) + 1, limit)
         at = place[added] - 1
-        symbols = np.where(at > begin, text[np.maximum(at - 1, 0)].astype(np.uint16) + 1, 0)
+        symbols = np.where(at > begin, text[at - 1], np.uint16(0))
         size = n + len(order)
         merged, grown, symbol = np.empty(size, np.int64), np.empty(size, np.uint8), np.empty(size, np.uint16)
         merged[:n], grown[:n], symbol[:n] = place[:n], common[:n], before[:n]
