@@ -18,11 +18,10 @@ from weektide.llm.pii import pseudonymise
 from weektide.llm.q_langid import fitted
 from weektide.llm.q_pii import KEY
 from weektide.llm.registry import read
-from weektide.llm.store import shared_path
-from weektide.session import tune
+from weektide.llm.store import sent_if_few, shared_path, tuned
 
 #: A document is rejected when no language makes up this share of it.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.3
 
 
 def _tag(name: str, df: DataFrame) -> str:
@@ -32,39 +31,43 @@ def _tag(name: str, df: DataFrame) -> str:
     return name
 
 
-def _mark(docs: DataFrame, ids: DataFrame, keep: str) -> DataFrame:
-    """``docs`` joined to the distinct ``doc_id`` of ``ids``; ``keep`` is the kind of join."""
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without those whose ``doc_id`` is among ``ids``."""
     mark = _tag("marked", docs)
-    marks = ids.select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(marks, F.col("doc_id").eqNullSafe(F.col(mark)), keep)
+    marks = sent_if_few(ids.select(F.col("doc_id").alias(mark)).distinct(), "marks")
+    return docs.join(marks, F.col("doc_id").eqNullSafe(F.col(mark)), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or without a main language, go."""
+    tuned(spark)
     found = identify(docs, "doc_id", "text", fitted(docs))
     rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
-    return _mark(docs, rejected, "left_anti")
+    return _without(docs, rejected)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id stays."""
+    tuned(spark)
     found = join_components(docs)
-    return _mark(docs, found.where("doc_id <> component_id"), "left_anti")
+    return _without(docs, found.where("doc_id <> component_id"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark go."""
-    return _mark(docs, find_items(docs, read(spark, sf_dir, "benchmark")), "left_anti")
+    return _without(docs, find_items(docs, read(tuned(spark), sf_dir, "benchmark")))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by pseudonyms; ``n_chars`` follows the text."""
+    tuned(spark)
     out = pseudonymise(docs, "text", KEY)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
+    tuned(spark)
     return pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -82,7 +85,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written to the shared folder and read again."""
-    docs = read(tune(spark), sf_dir, "documents")
+    docs = read(tuned(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
