@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weektide.llm.store import stored
+from weektide.llm.store import shuffle_width, stored
 
 
 def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
@@ -18,11 +18,12 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
     groups by node and joins the minimum back, so a hub's neighbours stay spread out,
     and each round is stored in the shared folder.
     """
-    spark = pairs.sparkSession
+    # Two numbers a row: few files hold what many shuffle tasks give.
+    files = max(1, shuffle_width(pairs.sparkSession) // 8)
     pairs = stored(
         pairs.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "pairs",
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        .coalesce(files), "pairs",
     )
     previous = None
     for _ in range(rounds):
@@ -42,7 +43,7 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
             )).alias("p")).select("p.*")
             .where("a <> b").distinct()
         )
-        pairs = stored(small, "pairs")
+        pairs = stored(small.coalesce(files), "pairs")
         state = pairs.agg(
             F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))).alias("h")
         ).first()

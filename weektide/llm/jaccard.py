@@ -11,13 +11,17 @@ similar sets share at least one.
 almost always; where it hasn't, it also gives its first shingles in hash order, as many
 as must overlap between similar sets.
 
-*Work within a group that shares a signature.*  Equal sets count as one.  The first
+*Work within a group that shares a signature.*  Equal sets count as one.  A group goes to
+one task; of a large group, all members are first tried with the smallest one, row by
+row, and what that refuses is cut into blocks, of which any two meet.  The middle
 member is tried against the rest, those it can't be similar to among themselves, and
 so on: one try per member.  The test is a parity bitmap of a set, whose differing bits
 never exceed the differing shingles, so nothing similar is refused.  Tries are
-verified on the sets themselves, and linked members merge.  Only members of one group
-that may still be similar but are not linked yet are then tried one by one.  Links
-inside what is already connected are not needed for components.
+verified on the sets themselves, and linked members merge.  A set has tries from many
+groups, so only the one with the closest partner is verified at first, then those
+whose two sets are not connected by that.  Last, members of one group that may be
+similar but are still not connected are tried one by one.  Links inside what is already
+connected are not needed for components.
 
 Defined results: texts that are NULL or without words have no set, are linked with
 nothing and are components of their own; equal rows are linked; an empty table gives
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 
 from weektide.llm.components import components
 from weektide.llm.grams import mix, salt, shingle_sets, slices
-from weektide.llm.store import shuffle_width, stored
+from weektide.llm.store import sent_if_few, shuffle_width, stored
 
 #: Words of a shingle.
 WIDTH = 5
@@ -45,6 +49,8 @@ WIDTH = 5
 CELLS, SPARE = 2, 1
 #: A band's largest size over that of the band before.
 BAND = 1.6
+#: Members of a group that one task takes; larger groups are cut.
+MOST = 20_000
 #: Signatures and documents a task holds before it hands them on.
 _HELD, _DOCS = 1_500_000, 60_000
 _SLICE = 1 << 21
@@ -274,22 +280,81 @@ def _may(maps: np.ndarray, size: np.ndarray, one: int, rest: np.ndarray) -> np.n
 
 
 _PAIRS = "a bigint, b bigint"
+_TRIES = "a bigint, b bigint, differ bigint"
+
+
+def _middle(maps: np.ndarray) -> int:
+    """The member whose map is closest to the majority of (up to 512) maps."""
+    bits = np.unpackbits(maps[:512].view(np.uint8), axis=1)
+    centre = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(bits)).view(_U)
+    return int(np.bitwise_count(maps ^ centre).sum(1, dtype=np.int64).argmin())
 
 
 def _tries(table: pa.Table) -> pa.Table:
-    """One try per member of a run: with the first member not refused so far."""
+    """One try per member of a run: with the first hub that doesn't refuse it.
+
+    Copies of one text with different edits are closer to that text than to each
+    other, so the first hubs are the members in the middle of those that are left.
+    """
     table = table.sort_by("key")
     key = table.column("key").to_numpy()
     size = table.column("n_shingles").to_numpy()
     maps = _fold(table.column("parity").to_pylist())
-    rest, a, b = np.arange(len(key)), [], []
-    while len(rest) > 1:
-        one, rest = rest[0], rest[1:]
+    rest, a, b, differ = np.arange(len(key)), [], [], []
+    for turn in range(len(key)):
+        if len(rest) < 2:
+            break
+        spot = _middle(maps[rest]) if turn < 8 and len(rest) > 2 else 0
+        one, rest = rest[spot], np.delete(rest, spot)
         may = _may(maps, size, one, rest)
         a.append(np.full(may.sum(), key[one]))
         b.append(key[rest[may]])
+        differ.append(np.bitwise_count(maps[rest[may]] ^ maps[one]).sum(1, dtype=np.int64))
         rest = rest[~may]
-    return _pairs(a, b)
+    return _pairs(a, b).append_column("differ", [np.concatenate(differ + [np.zeros(0, np.int64)])])
+
+
+def _blocks(members: DataFrame, most: int) -> DataFrame:
+    """``members`` with large runs replaced by runs of two blocks each; any two members
+    of a run are together in one at least."""
+    big = members.groupBy("run").agg(F.count("*").alias("size")).where(F.col("size") > most)
+    parts = F.ceil(F.col("size") / most).cast("int")
+    mine = F.pmod(F.xxhash64("key"), parts).cast("int")
+    others = F.filter(F.sequence(F.lit(0), parts - 1), lambda j: j != mine)
+    runs = F.when(F.col("size").isNull(), F.array("run")).otherwise(
+        F.transform(others, lambda j: F.xxhash64("run", F.least(mine, j), F.greatest(mine, j)))
+    )
+    return (
+        members.join(big, "run", "left").withColumn("runs", runs)
+        .withColumn("run", F.explode("runs")).drop("runs", "size")
+    )
+
+
+def _star(members: DataFrame, most: int) -> DataFrame:
+    """Members of large runs with the smallest member of their run: ``run, a, b`` and
+    whether the two ``may`` be similar."""
+    big = members.groupBy("run").agg(
+        F.count("*").alias("size"), F.min(F.struct("key", "n_shingles", "parity")).alias("one")
+    ).where(F.col("size") > most).select("run", "one")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.stack([batch.column(k).to_numpy() for k in (3, 5)])
+            maps = [batch.column(k).to_pylist() for k in (4, 6)]
+            may = [
+                bool(_may(_fold([x, y]), size[:, k], 0, np.array([1]))[0])
+                for k, (x, y) in enumerate(zip(*maps, strict=True))
+            ]
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(may, pa.bool_())],
+                ["run", "a", "b", "may"],
+            )
+
+    rows = members.join(big, "run").where("key <> one.key").select(
+        "run", F.col("one.key").alias("a"), F.col("key").alias("b"), "one.n_shingles", "one.parity",
+        F.col("n_shingles").alias("n"), F.col("parity").alias("p"),
+    )
+    return rows.mapInArrow(compare, "run bigint, a bigint, b bigint, may boolean")
 
 
 def _leftover(table: pa.Table) -> pa.Table:
@@ -328,7 +393,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFr
                     ["key", "members"],
                 )
 
-    texts, wanted = _texts(docs, id_col, text_col), ids.select(F.col("doc_id").alias("want")).distinct()
+    texts = _texts(docs, id_col, text_col)
+    wanted = sent_if_few(ids.select(F.col("doc_id").alias("want")).distinct(), "wanted")
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")), "left_semi")
     found = texts.mapInArrow(rows, "key bigint, members binary")
     return found.groupBy("key").agg(F.first("members").alias("members"))
@@ -354,6 +420,14 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(keep, _PAIRS)
 
 
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose two sets are in different components."""
+    a, b = (linked.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    known = pairs.join(a, "a", "left").join(b, "b", "left")
+    same = F.coalesce("of_a", "a") == F.coalesce("of_b", "b")
+    return known.where(~same).select("a", "b")
+
+
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; see the module's text."""
     spark = docs.sparkSession
@@ -364,25 +438,40 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     runs = stored(sharing(docs, id_col, text_col, 2 * shuffle_width(spark)), "runs")
     members = stored(runs.join(distinct.drop("copies"), "key"), "members")
-    grouped = members.select("run", "key", "n_shingles", "parity").groupBy("run")
-    tries = stored(grouped.applyInArrow(_tries, _PAIRS).distinct(), "tries")
+    large = not runs.groupBy("run").count().where(F.col("count") > MOST).isEmpty()
+    members = members.select("run", "key", "doc_id", "n_shingles", "parity")
+    tries = members
+    if large:
+        star = stored(_star(members, MOST), "star")
+        settled = star.where("may").select("run", F.col("b").alias("key"))
+        tries = _blocks(members.join(settled, ["run", "key"], "left_anti"), MOST)
+    tries = tries.select("run", "key", "n_shingles", "parity").groupBy("run")
+    tries = tries.applyInArrow(_tries, _TRIES)
+    if large:
+        tries = tries.unionByName(star.where("may").select("a", "b", F.lit(0).cast("bigint").alias("differ")))
+    tries = stored(tries.groupBy("a", "b").agg(F.min("differ").alias("differ")), "tries")
     sets = stored(_sets(docs, id_col, text_col, members), "sets")
-    links = stored(_verified(tries, sets), "links")
-    linked = stored(components(links), "linked")
-    # Members that the first tries left apart although they may be similar.
+    closest = F.min(F.struct("differ", "a"))["a"]
+    first = stored(tries.groupBy("b").agg(closest.alias("a")).select("a", "b"), "first")
+    links = stored(_verified(first, sets), "links")
+    linked = sent_if_few(components(links), "linked")
+    second = _apart(tries, linked).join(first, ["a", "b"], "left_anti")
+    found = stored(_verified(second, sets), "links")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        linked = sent_if_few(components(links), "linked")
+    # Members that the tries left apart although they may be similar.
     parts = members.join(linked, members["key"] == linked["node"], "left").select(
         "run", "key", "n_shingles", "parity", F.coalesce("component", "key").alias("component")
     )
-    apart = parts.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    apart = apart.where("x <> y").select("run")
     more = (
-        parts.join(apart, "run").groupBy("run").applyInArrow(_leftover, _PAIRS).distinct()
+        (_blocks(parts, MOST) if large else parts).groupBy("run").applyInArrow(_leftover, _PAIRS).distinct()
         .join(tries, ["a", "b"], "left_anti")
     )
-    links = links.unionByName(_verified(more, sets))
-    linked = components(links).join(
-        distinct.select(F.col("key").alias("node"), "doc_id"), "node"
-    )
+    found = stored(_verified(more, sets), "links")
+    if not found.isEmpty():
+        linked = stored(components(links.unionByName(found)), "linked")
+    linked = linked.join(distinct.select(F.col("key").alias("node"), "doc_id"), "node")
     names = linked.groupBy("component").agg(F.min("doc_id").alias("name"))
     by_key = (
         distinct.select("key", "doc_id", "copies")
