@@ -49,6 +49,8 @@ WIDTH = 5
 CELLS, SPARE = 2, 1
 #: A band's largest size over that of the band before.
 BAND = 1.6
+#: Buckets of signatures at least; every bucket repeats the keys of most documents.
+LEAST_BUCKETS = 64
 #: Members of a group that one task takes; larger groups are cut.
 MOST = 20_000
 #: Signatures and documents a task holds before it hands them on.
@@ -381,7 +383,10 @@ def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.Table:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFrame:
-    """``key, members``: the shingles of the documents with these ids, once per set."""
+    """``key, members``: the shingles of the documents with these ids.
+
+    The ids are one for each set, so a set comes once, or as often as a row is repeated.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -396,8 +401,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFr
     texts = _texts(docs, id_col, text_col)
     wanted = sent_if_few(ids.select(F.col("doc_id").alias("want")).distinct(), "wanted")
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")), "left_semi")
-    found = texts.mapInArrow(rows, "key bigint, members binary")
-    return found.groupBy("key").agg(F.first("members").alias("members"))
+    return texts.mapInArrow(rows, "key bigint, members binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -414,8 +418,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good[k] = similar(len(a), len(b), int((both[1:] == both[:-1]).sum()))
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    left = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
-    right = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
+    # Only sets that a pair names are moved.
+    sides = {}
+    for side in "ab":
+        named = sent_if_few(pairs.select(F.col(side).alias("key")).distinct(), "named")
+        sides[side] = sets.join(named, "key", "left_semi")
+    left = sides["a"].select(F.col("key").alias("a"), F.col("members").alias("x"))
+    right = sides["b"].select(F.col("key").alias("b"), F.col("members").alias("y"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return rows.mapInArrow(keep, _PAIRS)
 
@@ -436,7 +445,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"),
     )
-    runs = stored(sharing(docs, id_col, text_col, 2 * shuffle_width(spark)), "runs")
+    buckets = max(LEAST_BUCKETS, shuffle_width(spark))
+    runs = stored(sharing(docs, id_col, text_col, buckets), "runs")
     members = stored(runs.join(distinct.drop("copies"), "key"), "members")
     large = not runs.groupBy("run").count().where(F.col("count") > MOST).isEmpty()
     members = members.select("run", "key", "doc_id", "n_shingles", "parity")
@@ -455,7 +465,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = stored(tries.groupBy("b").agg(closest.alias("a")).select("a", "b"), "first")
     links = stored(_verified(first, sets), "links")
     linked = sent_if_few(components(links), "linked")
-    second = _apart(tries, linked).join(first, ["a", "b"], "left_anti")
+    second = stored(_apart(tries, linked).join(first, ["a", "b"], "left_anti"), "second")
     found = stored(_verified(second, sets), "links")
     if not found.isEmpty():
         links = links.unionByName(found)
@@ -464,9 +474,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = members.join(linked, members["key"] == linked["node"], "left").select(
         "run", "key", "n_shingles", "parity", F.coalesce("component", "key").alias("component")
     )
-    more = (
+    more = stored(
         (_blocks(parts, MOST) if large else parts).groupBy("run").applyInArrow(_leftover, _PAIRS).distinct()
-        .join(tries, ["a", "b"], "left_anti")
+        .join(tries, ["a", "b"], "left_anti"), "more",
     )
     found = stored(_verified(more, sets), "links")
     if not found.isEmpty():
