@@ -48,6 +48,44 @@ def test_shared_passages(spark, monkeypatch, hot):
     assert run(as_documents(spark, rows)) == brute(rows)
 
 
+def alone(text):
+    """Whether the window at byte 1 is a segment of its own."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    begin, count, *_ = sd.segments(raw, np.array([0, len(raw)]))
+    return (1, 1) in zip(begin.tolist(), count.tolist(), strict=True)
+
+
+def single_rows():
+    """A passage of one window, which is a segment of its own in the first and last document only."""
+    rng = random.Random(9)
+    signs = "".join(map(chr, range(33, 127)))
+    while True:
+        passage = "".join(rng.choices(signs, k=sd.LENGTH))
+        around = [(a, b) for a in signs for b in signs if alone(a + passage + b)]
+        if around:
+            break
+    a, b = around[0]
+    others = [c for c in signs if not alone(a + passage + c) and not alone(c + passage + b)]
+
+    def text(n):
+        return "".join(rng.choices(signs, k=n))
+
+    rows = [(0, text(150) + a + passage + b + text(150), None)]
+    for k in range(1, 9):
+        c = rng.choice(others)
+        rows.append((k, text(150) + c + passage + c + text(150), None))
+    return [*rows, (9, text(150) + a + passage + b + text(150), None)]
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_single_window_of_a_hot_key(spark, monkeypatch, last):
+    monkeypatch.setattr(sd, "HOT", 3)
+    rows = single_rows()[1:] if last else single_rows()
+    want = brute(rows)
+    assert sum(r[2] >= sd.LENGTH for r in want) == len(rows) - 1
+    assert run(as_documents(spark, rows)) == want
+
+
 def test_all_documents(documents, rows):
     # The two rows without an id differ, and their order is that of a hash.
     got = run(documents)

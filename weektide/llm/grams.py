@@ -9,6 +9,8 @@ import pyarrow as pa
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
+#: Bases of two independent rolling hashes.
+BASES = (_BASE, _U(0xD6E8FEB86659FD93))
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = np.zeros(256, bool)
@@ -53,9 +55,9 @@ def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordB
         begin = end
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = _U(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(n, _BASE), np.full(n, inverse)
+def _powers(n: int, base: np.uint64 = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    inverse = _U(pow(int(base), -1, 1 << 64))
+    up, down = np.full(n, base), np.full(n, inverse)
     if n:
         up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
@@ -76,9 +78,9 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begin, end, np.searchsorted(at, begin, "right") - 1
 
 
-def rolling(raw: np.ndarray):
+def rolling(raw: np.ndarray, base: np.uint64 = _BASE):
     """A function that hashes pieces of ``raw``, given where they begin and their length."""
-    up, down = _powers(len(raw) + 1)
+    up, down = _powers(len(raw) + 1, base)
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum((raw.astype(_U) + _U(1)) * up[:-1], out=sums[1:])
 

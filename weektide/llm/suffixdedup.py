@@ -18,8 +18,9 @@ earliest go.  The sequential files of the published method are Spark's shuffle f
 group is read from them in one go and is small enough to stay in memory.
 
 *Hot keys.*  A key that very many different segments share (text around a common
-passage) is cut into its single windows, which are dealt out by their own hash; equal
-ones then are equal segments, of which the earliest stays.
+passage) is cut into its single windows, segments of one window included, which are
+dealt out by their own hash; equal ones then are equal segments, of which the earliest
+stays.
 
 Defined results: a NULL text is empty; texts of less than ``LENGTH`` bytes lose nothing.
 Rows with the same id are in the order of a hash of their text, and equal rows count as
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weektide.llm.grams import mix, rolling, salt, slices, utf8
+from weektide.llm.grams import BASES, mix, rolling, salt, slices, utf8
 from weektide.llm.store import shuffle_width, stored
 from weektide.llm.suffixes import suffix_order
 
@@ -188,7 +189,7 @@ def _settle(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(new)
     size = np.repeat(np.diff(first, append=len(key)), np.diff(first, append=len(key)))
     ask = np.where(size > HOT, _HOT, np.where((size > 1) | several, _ASKED, _GOES))
-    wanted = (ask != _GOES) & ((count > 1) | (size <= HOT))
+    wanted = ask != _GOES
     found = gone + [tuple(x[wanted] for x in (docs, start, count, key))]
     asks = [np.zeros(len(g[1]), np.int32) for g in gone] + [ask[wanted].astype(np.int32)]
     docs, start, count, key = (np.concatenate([f[k] for f in found]) for k in range(4))
@@ -303,11 +304,13 @@ def _fetch(texts: DataFrame, asked: DataFrame, groups: int, buckets: int) -> Dat
                     begin, count = ask["start"], ask["count"]
                     if ask["ask"] == _HOT:
                         piece = np.frombuffer(raw, np.uint8)[begin : begin + count + LENGTH - 1]
-                        own = rolling(piece)(np.arange(count), LENGTH)
+                        own, other = (
+                            rolling(piece, base)(np.arange(count), LENGTH) for base in BASES
+                        )
                         parcel.add(
                             np.array([[doc, tag]]), np.zeros(count, np.int64),
                             begin + np.arange(count), np.ones(count, np.int64),
-                            mix(own + salt(1)), mix(own + salt(2)), np.zeros(count, bool),
+                            mix(own + salt(1)), other, np.zeros(count, bool),
                         )
                     else:
                         group = mix(np.array([ask["key"]], np.int64).view(_U))[0] >> _U(1)
