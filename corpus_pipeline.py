@@ -18,7 +18,7 @@ from weektide.llm.pii import pseudonymise
 from weektide.llm.q_langid import fitted
 from weektide.llm.q_pii import KEY
 from weektide.llm.registry import read
-from weektide.llm.store import sent_if_few, shared_path, tuned
+from weektide.llm.store import sent_if_few, shared_path, stored, tuned
 
 #: A document is rejected when no language makes up this share of it.
 LEAST_SHARE = 0.3
@@ -31,31 +31,59 @@ def _tag(name: str, df: DataFrame) -> str:
     return name
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without those whose ``doc_id`` is among ``ids``."""
-    mark = _tag("marked", docs)
-    marks = sent_if_few(ids.select(F.col("doc_id").alias(mark)).distinct(), "marks")
-    return docs.join(marks, F.col("doc_id").eqNullSafe(F.col(mark)), "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of id and text, and the key's name.
+
+    Ids may be NULL or shared by different texts, so a stage decides about these keys;
+    rows that are equal in both share one, and what becomes of them.
+    """
+    name = _tag("row", docs)
+    return docs.withColumn(name, F.xxhash64("doc_id", F.col("text").cast("string"))), name
+
+
+def _without(keyed: DataFrame, row: str, rows: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose key is in the one column of ``rows``, and without keys."""
+    mark = _tag("marked", keyed)
+    marks = sent_if_few(rows.toDF(mark).distinct(), "marks")
+    return keyed.join(marks, F.col(row) == F.col(mark), "left_anti").drop(row)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or without a main language, go."""
     tuned(spark)
-    found = identify(docs, "doc_id", "text", fitted(docs))
+    keyed, row = _keyed(docs)
+    found = identify(keyed, row, "text", fitted(docs))
     rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
-    return _without(docs, rejected)
+    return _without(keyed, row, rejected.select("doc_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays."""
+    """Of each group of similar documents the one with the smallest id stays.
+
+    Of different texts with that id one stays, chosen by hash.  Rows without an id stay.
+    """
     tuned(spark)
-    found = join_components(docs)
-    return _without(docs, found.where("doc_id <> component_id"))
+    keyed, row = _keyed(docs)
+    found = join_components(keyed, row)
+    copies = found.where("doc_id <> component_id").distinct()
+    first = copies.select(F.col("component_id").alias("doc_id"), "component_id").distinct()
+    grouped = sent_if_few(
+        copies.select("doc_id", "component_id").unionByName(first)
+        .select(F.col("doc_id").alias("member"), F.col("component_id").alias("group")), "grouped",
+    )
+    named = keyed.where("doc_id is not null").select(F.col(row).alias("member"), "doc_id")
+    named = stored(named.join(grouped, "member"), "members")
+    place = F.struct("doc_id", "member")
+    least = sent_if_few(named.groupBy("group").agg(F.min(place).alias("least")), "least")
+    gone = named.join(least, "group").where(place > F.col("least"))
+    return _without(keyed, row, gone.select("member"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark go."""
-    return _without(docs, find_items(docs, read(tuned(spark), sf_dir, "benchmark")))
+    keyed, row = _keyed(docs)
+    found = find_items(keyed, read(tuned(spark), sf_dir, "benchmark"), row)
+    return _without(keyed, row, found.select("doc_id"))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

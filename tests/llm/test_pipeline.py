@@ -77,3 +77,35 @@ def test_run_joins_the_stages(spark, folder):
     assert got.columns[:5] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     ids = {r.doc_id for r in got.collect()}
     assert ids < {i for i, *_ in data} and 10 in ids
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Rows without an id, and different texts of one id, don't share their fate."""
+    rng = random.Random(11)
+    clean = [text_in(lang, 60, rng) for lang in ["aa", "bb"] * 8]
+    near = clean[0].upper()  # another text with the same shingles
+    more = [(200 + k, text_in(lang, 40, rng), lang) for k, lang in enumerate(["aa", "bb"] * 30)]
+    path = f"file://{tmp_path}"
+    item = " ".join(clean[2].split()[5:40])
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
+
+    def left(stage, rows):
+        as_documents(spark, rows).write.mode("overwrite").parquet(f"{path}/docs.parquet")
+        return as_rows(FUNCTIONS[stage](spark, spark.read.parquet(f"{path}/docs.parquet"), path))
+
+    def want(rows):
+        return sorted(((i, t) for i, t, _ in rows), key=str)
+
+    kept = [(None, clean[0], "aa"), (7, clean[1], "bb"), (8, clean[3], "bb"), (8, clean[3], "bb")]
+    junk = [(None, None, "aa"), (None, "12 34", "aa"), (7, "...", "bb"), (7, "...", "bb"), (9, "", "bb")]
+    assert left("language", more + kept + junk) == want(more + kept)
+
+    leaks = [(None, clean[2], None), (7, "x " + clean[2], None), (7, "x " + clean[2], None)]
+    assert left("decontaminate", kept + leaks) == want(kept)
+
+    kept = [(3, clean[0], None), (5, clean[1], None), (None, clean[4], None), (None, None, None), (6, clean[5], None)]
+    copies = [(5, near, None), (4, clean[0], None), (6, near, None), (6, near, None)]
+    assert left("near_duplicates", kept + copies) == want(kept)
+    # One of two similar texts with the smallest id stays.
+    both = left("near_duplicates", [(3, clean[0], None), (3, near, None), (4, near, None), (5, clean[1], None)])
+    assert len(both) == 2 and both[0][0] == 3 and both[1] == (5, clean[1])
