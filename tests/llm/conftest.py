@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 #: Columns that operators use inside, and that tables may have as well.
 CLASHING = (
     "key run component node a b bucket blob start length rank part place n parity members "
-    "name id marked spans doc tag r times sequence at offset kept value path"
+    "name id marked spans doc tag r times sequence at offset kept value path "
+    "assign access hex entropy"
 ).split()
 
 

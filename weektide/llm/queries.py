@@ -8,6 +8,7 @@ from weektide.llm import (  # noqa: F401  (importing registers)
     q_langid,
     q_packing,
     q_pii,
+    q_secretscan,
     q_suffixdedup,
     q_tokencount,
     q_warc,
