@@ -1,6 +1,7 @@
 """All named queries of the text operators."""
 
 from weektide.llm import (  # noqa: F401  (importing registers)
+    q_centroids,
     q_decontam,
     q_fingerprint,
     q_html,
@@ -12,6 +13,7 @@ from weektide.llm import (  # noqa: F401  (importing registers)
     q_suffixdedup,
     q_tokencount,
     q_warc,
+    q_whitening,
 )
 from weektide.llm.registry import ORACLES, QUERIES
 
