@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 
@@ -6,13 +7,19 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from weektide.llm import packing
 from weektide.llm.packing import CAPACITY, WordIds, best_multiset, pack, plan
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
 def reference_ids(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check_pieces(got, texts, capacity=CAPACITY):
@@ -63,6 +70,26 @@ def test_words_have_the_tokenizers_ids():
             assert np.frombuffer(packed, "<u4").tolist() == reference_ids(text)[:-1], repr(text)
 
 
+def test_random_signs_in_long_slices():
+    """White space and letters of all widths, special tokens, empty texts, few remembered words."""
+    rng = random.Random(4)
+    signs = "abé Àÿ×÷µ1.'\n\t\x1c\x85\xa0\u1680\u2003\u2028\u202f\u3000Ж日😀ª€\0"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.choice([0, 1, 2, 30, 300]))) for _ in range(4000)]
+    texts += ["a<|endoftext|>b c<|endoftext|>", " <|endoftext|> x", "x" * 10_000, " " * 3000 + "end"]
+    for remembered in (300, 400_000):
+        encode = WordIds(PATH, remembered=remembered)
+        for at in range(0, len(texts), 500):
+            for text, packed in zip(texts[at : at + 500], encode(texts[at : at + 500]), strict=True):
+                assert np.frombuffer(packed, "<u4").tolist() == reference_ids(text)[:-1], repr(text)
+
+
+def test_words_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing, "word_hashes", lambda raw, begin, end: (end - begin).astype(np.uint64))
+    texts = ["one two six", "ten 12,five", "", "one"]
+    for text, packed in zip(texts, WordIds(PATH)(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == reference_ids(text)[:-1]
+
+
 def brute_best(counts, capacity):
     reach = {0}
     for n, c in counts.items():

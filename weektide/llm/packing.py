@@ -20,7 +20,6 @@ rows are packed once each; an empty table gives no pieces; NULL ids are packed t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -32,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weektide.llm.grams import SPACES, slices, utf8, word_hashes
 from weektide.llm.store import shuffle_width, stored
 
 #: Length of a sequence.
@@ -42,17 +42,11 @@ END_ID = 1
 REMEMBERED = 400_000
 #: Cut remainders that are sent to every task; more of them are joined by a shuffle.
 SENT = 20_000
-#: Characters tokenized at a time.
-_SLICE = 1 << 20
-
-# Unicode white space, and the letters after which a word may be cut off from what
-# follows: a pre-token never goes on from a letter to a sign or digit, nor from
-# anything to a white space.
-_WHITE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_WORD = re.compile(
-    f"[{_WHITE}]*[{_LETTER}]+(?=[\\x00-@\\[-`{{-\\x7f])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+"
-)
+#: Bytes tokenized at a time.
+_SLICE = 1 << 21
+
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -66,33 +60,124 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def word_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where words begin in the bytes of texts that begin at ``at``; words tile the texts.
+
+    A pre-token never goes on from a sign to white space, nor from a letter to an ASCII
+    sign or digit.  So a word is white space and what follows up to the next white space;
+    but if that begins with letters, it ends after them.  Letters are those of Latin-1.
+    """
+    n = len(raw)
+    white, letter = SPACES[raw], _LETTERS[raw]
+    # Characters of more bytes: white space of Unicode, and the letters from C0 to FF.
+    high = np.flatnonzero(raw >= 0xC2)
+    if len(high):
+        one = raw[np.minimum(high + 1, n - 1)]
+        two = raw[np.minimum(high + 2, n - 1)]
+        pair = (raw[high] == 0xC2) & ((one == 0x85) | (one == 0xA0))
+        triple = (
+            ((raw[high] == 0xE1) & (one == 0x9A) & (two == 0x80))
+            | ((raw[high] == 0xE2) & (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF)))
+            | ((raw[high] == 0xE2) & (one == 0x81) & (two == 0x9F))
+            | ((raw[high] == 0xE3) & (one == 0x80) & (two == 0x80))
+        )
+        for k in range(3):
+            white[high[triple] + k] = True
+            if k < 2:
+                white[high[pair] + k] = True
+        latin = high[(raw[high] == 0xC3) & (one != 0x97) & (one != 0xB7)]
+        letter[latin] = letter[latin + 1] = True
+    first = np.zeros(n + 1, bool)
+    first[at] = True
+    begin = first.copy()
+    begin[1:n] |= white[1:] & ~white[:-1]
+    # Runs of letters that stand at the beginning of a word, and what follows them.
+    edge = np.zeros(n + 1, bool)
+    edge[1:n] = letter[1:] != letter[:-1]
+    edge[0], edge[n] = n > 0 and letter[0], n > 0 and letter[-1]
+    split = first[:-1] & letter
+    split[:1] = False
+    split[1:] &= letter[:-1]
+    edges = np.sort(np.concatenate([np.flatnonzero(edge), np.repeat(np.flatnonzero(split), 2)]))
+    starts, ends = edges[::2], edges[1::2]
+    lead = first[starts] | white[np.maximum(starts - 1, 0)]
+    ends = ends[lead & (ends < n)]
+    begin[ends[(raw[ends] < 128) & ~white[ends]]] = True
+    return np.flatnonzero(begin[:n])
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of all entries of pieces, given where they begin and their sizes."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class WordIds:
-    """Ids of texts as packed little-endian 32-bit numbers, one lookup per known word."""
+    """Ids of texts.  Words are looked up by hash, and their bytes compared; the tokenizer
+    sees each distinct word once while it is remembered."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        self._model, self._known, self._most = _tokenizer(path), {}, remembered
+        self._model, self._most = _tokenizer(path), remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes = np.zeros(0, np.uint64)
+        self._word = np.zeros(0, np.int64)
+        self._sizes = np.zeros((2, 0), np.int64)  # bytes and ids of each word
+        self._starts = np.zeros((2, 0), np.int64)
+        self._bytes, self._ids = np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        got = [e.ids for e in self._model.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        sizes = np.array([[len(w) for w in words], [len(g) for g in got]], np.int64)
+        starts = np.cumsum(sizes, axis=1) - sizes + np.array([[len(self._bytes)], [len(self._ids)]])
+        word = np.concatenate([self._word, len(self._word) + np.arange(len(words))])
+        hashes = np.concatenate([self._hashes, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self._hashes, self._word = hashes[order], word[order]
+        self._sizes = np.concatenate([self._sizes, sizes], axis=1)
+        self._starts = np.concatenate([self._starts, starts], axis=1)
+        self._bytes = np.concatenate([self._bytes, np.frombuffer(b"".join(words), np.uint8)])
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(got), np.uint32)])
+
+    def slice(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin; ``at`` as in ``grams.utf8``."""
+        begin = word_starts(raw, at)
+        sizes = np.diff(begin, append=len(raw))
+        hashes, first, which = np.unique(
+            word_hashes(raw, begin, begin + sizes), return_index=True, return_inverse=True
+        )
+        spot = np.minimum(np.searchsorted(self._hashes, hashes), max(len(self._hashes) - 1, 0))
+        new = self._hashes[spot] != hashes if len(self._hashes) else np.ones(len(hashes), bool)
+        if len(self._hashes) + new.sum() > self._most:
+            self._forget()
+            new[:] = True
+        if new.any():
+            chosen = first[new]
+            self._learn(hashes[new], [raw[b : b + n].tobytes() for b, n in zip(begin[chosen], sizes[chosen], strict=True)])
+        word = self._word[np.searchsorted(self._hashes, hashes)][which]
+        known = self._bytes[ragged(self._starts[0, word], self._sizes[0, word])]
+        if len(known) != len(raw) or (known != raw).any():  # two words with one hash
+            texts = [raw[a:b].tobytes().decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+            got = [e.ids for e in self._model.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(got), np.uint32), np.cumsum([0, *map(len, got)])
+        counts = np.concatenate([[0], np.cumsum(self._sizes[1, word])])
+        return self._ids[ragged(self._starts[1, word], self._sizes[1, word])], counts[np.searchsorted(begin, at)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [_WORD.findall(t) for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self._known))
-        if len(self._known) + len(new) > self._most:
-            self._known = {}
-            new = list(set(chain.from_iterable(words)))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, got in zip(part, self._encode(part), strict=True):
-                self._known[word] = np.array(got.ids, "<u4").tobytes()
-        return [b"".join(map(self._known.__getitem__, w)) for w in words]
-
-    def _encode(self, part: list[str]):
-        return self._model.encode_batch_fast(part, add_special_tokens=False)
+        """Ids of each text as packed little-endian 32-bit numbers."""
+        ids, at = self.slice(*utf8(pa.array(texts, pa.large_string())))
+        packed = ids.astype("<u4")
+        return [packed[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int]]:
-    """Start, length and CRC-32 of a document's pieces: full ones, then the remainder."""
-    for start in range(0, len(ids), 4 * capacity):
-        piece = ids[start : start + 4 * capacity]
-        yield start // 4, len(piece) // 4, zlib.crc32(piece)
+def cut(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and length of the pieces of documents with that many ids: full
+    ones, then the remainder."""
+    pieces = -(-sizes // capacity)
+    whose = np.repeat(np.arange(len(sizes)), pieces)
+    start = ragged(np.zeros(len(sizes), np.int64), pieces) * capacity
+    return whose, start, np.minimum(sizes[whose] - start, capacity)
 
 
 def tokenize(
@@ -100,25 +185,24 @@ def tokenize(
     capacity: int = CAPACITY, end_id: int = END_ID,
 ) -> DataFrame:
     """Pieces of every document: id, start, length, CRC-32 of the ids, tokens in all."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordIds(path)
         for batch in batches:
-            ids, texts, at = batch.column(0), batch.column(1), 0
-            while at < batch.num_rows:
-                part, size, first = [], 0, at
-                while at < batch.num_rows and (not part or size < _SLICE):
-                    part.append(texts[at].as_py() or "")
-                    size += len(part[-1])
-                    at += 1
-                rows = []
-                for k, packed in enumerate(encode(part)):
-                    packed += end
-                    doc = ids[first + k].as_py()
-                    rows += [(doc, *p, len(packed) // 4) for p in cut(packed, capacity)]
+            for part in slices(batch, 1, _SLICE):
+                ids, at = encode.slice(*utf8(part.column(1)))
+                sizes = np.diff(at) + 1
+                ends = np.cumsum(sizes)
+                closed = np.full(ends[-1], end_id, "<u4")
+                inner = np.ones(len(closed), bool)
+                inner[ends - 1] = False
+                closed[inner] = ids
+                whose, start, length = cut(sizes, capacity)
+                first, raw = (ends - sizes)[whose] + start, memoryview(closed).cast("B")
+                crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
+                    [part.column(0).take(pa.array(whose)), pa.array(start), pa.array(length),
+                     pa.array(crc, pa.int64()), pa.array(sizes[whose])],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
