@@ -199,6 +199,44 @@ def test_many_series_equal_one_series(by_region):
     assert together.count() == 15
 
 
+def test_a_fold_equals_single_steps(by_region, features):
+    """The same model as a formula and as a step of its own."""
+    keys = ["region"]
+    models = L.fit_local_ridge(by_region.filter("region <> 'AFRICA'"), keys)
+    columns = FE.feature_columns(by_region, keys)
+    folded = FC.recursive_forecast(by_region, FC.local_formula(models, keys, columns), 9, keys)
+    stepped = FC.recursive_forecast(
+        by_region, lambda d: L.predict_local(d, models, keys, columns), 9, keys
+    )
+    order = ["region", "horizon_step"]
+    assert folded.orderBy(*order).collect() == stepped.orderBy(*order).collect()
+    model = FC.train_final_model(features)
+    one = FC.recursive_forecast(features, model, 30).orderBy("horizon_step").toPandas()
+    two = FC.recursive_forecast(features, model.transform, 30).orderBy("horizon_step").toPandas()
+    assert (one["predicted_sales"] - two["predicted_sales"]).abs().max() <= 0.011
+    assert one["lag_status"].equals(two["lag_status"])
+
+
+def test_the_plan_of_a_fold_does_not_grow(by_region, monkeypatch):
+    monkeypatch.setattr(FC, "durable", lambda df: pytest.fail("a fold stores nothing"))
+    formula = FC.Formula(lambda c: c["sales_lag_1"] * 1.01)
+
+    def plan(weeks):
+        df = FC.recursive_forecast(by_region, formula, weeks, ["region"])
+        return df._jdf.queryExecution().analyzed().toString()
+
+    assert abs(len(plan(999)) - len(plan(100))) < 40
+    ends = FC.recursive_forecast(by_region, formula, 999, ["region"])
+    assert ends.count() == 999 * 5 and ends.filter("predicted_sales is null").count() == 0
+
+
+def test_nothing_to_forecast(features):
+    none = features.filter("false")
+    formula = FC.Formula(lambda c: c["sales_lag_1"])
+    assert FC.recursive_forecast(none, formula, 3).collect() == []
+    assert FC.recursive_forecast(none, lambda d: d.withColumn("prediction", F.lit(1.0)), 3).collect() == []
+
+
 def test_forecasts_are_clamped_at_zero(features):
     rows = FC.recursive_forecast(features, lambda d: d.withColumn("prediction", F.lit(-5.0)), 2)
     assert {r["predicted_sales"] for r in rows.collect()} == {0.0}

@@ -119,11 +119,9 @@ def _(spark, path):
 def _(spark, path):
     keys = ["category"]
     features = _features(spark, path, keys)
-    models = durable(L.fit_local_ridge(features, keys))
-    columns = feature_columns(features, keys)
-    return FC.recursive_forecast(
-        features, lambda rows: L.predict_local(rows, models, keys, columns), 12, keys
-    )
+    models = L.fit_local_ridge(features, keys)
+    formula = FC.local_formula(models, keys, feature_columns(features, keys))
+    return FC.recursive_forecast(features, formula, 12, keys)
 
 
 @query("local_ridge_holdout")
@@ -173,10 +171,9 @@ FROM r""",
 )
 def _(spark, path):
     keys = ["category"]
-    return FC.recursive_forecast(
-        _features(spark, path, keys),
-        lambda rows: rows.withColumn("prediction", F.col("sales_rolling_mean_4")), 16, keys,
-    )
+    mean = FC.Formula(lambda columns: columns["sales_rolling_mean_4"])
+    features = build_features(series_table(spark, path, *keys), keys)
+    return FC.recursive_forecast(features, mean, 16, keys)
 
 
 def _ridge_sql(keys: list[str]) -> str:
@@ -216,6 +213,35 @@ def _(spark, path):
     )
 
 
+def _next(sales: list[str]) -> str:
+    """The ridge on two predictors, given the last four weeks' sales, newest first."""
+    mean = S.rnd(f"({' + '.join(sales)}) / 4.0")
+    return f"greatest(w0 + w1 * {sales[0]} + w2 * {mean}, 0.0)"
+
+
+@query(
+    "recursive_ridge_forecast",
+    _ridge_sql(["category"]).replace("WITH ", "WITH RECURSIVE ", 1) + f""", h AS (
+  SELECT category, max(date) AS last, list(sales ORDER BY date DESC)[1:4] AS b FROM f GROUP BY category
+), r AS (
+  SELECT h.category, last, 1 AS step, {_next(['b[1]', 'b[2]', 'b[3]', 'b[4]'])} AS p, b
+  FROM h JOIN m USING (category)
+  UNION ALL
+  SELECT r.category, last, step + 1, {_next(['p', 'b[1]', 'b[2]', 'b[3]'])}, [p, b[1], b[2], b[3]]
+  FROM r JOIN m USING (category) WHERE step < 16
+)
+SELECT category, CAST(step AS BIGINT) AS horizon_step, CAST(last + CAST(7 * step AS INTEGER) AS VARCHAR) AS forecast_date,
+       {S.rnd('p')} AS predicted_sales,
+       CASE WHEN step = 1 THEN 'Observed History' ELSE 'Recursive ($h=' || step || '$)' END AS lag_status
+FROM r""",
+)
+def _(spark, path):
+    keys = ["category"]
+    features = _features(spark, path, keys)
+    models = L.fit_local_ridge(_train(features.select(*keys, "date", "sales", *_TWO)), keys)
+    return FC.recursive_forecast(features, FC.local_formula(models, keys, _TWO), 16, keys)
+
+
 _TWO_PREDICTED = _ridge_sql([]) + f""", x AS (
   SELECT date, sales, w0 + w1 * {_TWO[0]} + w2 * {_TWO[1]} AS prediction
   FROM s, m WHERE role = 'test')
