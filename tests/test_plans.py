@@ -5,7 +5,9 @@ from collections import Counter
 
 import pytest
 
+from weektide.operators import profile
 from weektide.plans.catalog import QUERIES
+from weektide.sources.durable import durable
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,3 +31,18 @@ def test_tables_read(spark, name):
     plan += df._jdf.queryExecution().executedPlan().toString()
     scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet\]", plan)
     assert Counter(scans) == READS[name]
+
+
+def test_a_description_scans_twice(spark, monkeypatch):
+    """One pass for statistics and bucket counts, one for the chosen buckets."""
+    plans = []
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df)
+
+    monkeypatch.setattr(profile, "durable", spy)
+    df = QUERIES["numeric_describe"](spark, SMALL)
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    # An adaptive plan is told twice: as it stands and as it began.
+    assert sum(p.count("lineitem.parquet") > 0 for p in plans) == 2

@@ -113,3 +113,35 @@ def test_approximate_counts_stay_close(spark):
     exact, near = kpis.core_kpis(df).first(), kpis.core_kpis(df, approximate=0.02).first()
     for name in ("num_orders", "num_customers", "num_products"):
         assert abs(near[name] - exact[name]) <= 0.1 * exact[name]
+
+
+def test_a_narrow_cluster_is_split_until_it_is_small(spark, monkeypatch):
+    """A million values in a sliver of their range beside one outlier."""
+    sizes, holding = [], profile._holding
+
+    def spy(buckets, wanted):
+        hits = holding(buckets, wanted)
+        sizes.append(max(h[7] for h in hits))
+        return hits
+
+    monkeypatch.setattr(profile, "_holding", spy)
+    n = 1_000_000
+    df = spark.range(n).select((1e9 + F.pmod(F.col("id") * 7919, F.lit(n)) * 0.3).alias("x"))
+    df = df.union(spark.createDataFrame([(-1.0,)], "x double"))
+    got = {r["probability"]: r["value"] for r in profile.exact_quantiles(df, ["x"], [0.0, 0.5, 0.999]).collect()}
+    values = np.concatenate([[-1.0], 1e9 + np.arange(n) * 0.3])
+    for p, v in got.items():
+        assert v == pytest.approx(np.quantile(values, p), rel=1e-12)
+    assert len(got) == 3 and sizes[0] > n / 2 and sizes[-1] < 0.05 * n
+
+
+def test_extreme_values_and_empty_columns(spark):
+    inf = float("inf")
+    values = [-inf, -1e308, -5e-324, -0.0, 0.0, 5e-324, 2.0**-1022, 1.0, 2.0 - 2**-52, 2.0, 1e308, inf]
+    df = spark.createDataFrame([(v, None) for v in values], "x double, y double")
+    ranks = [k / (len(values) - 1) for k in range(len(values))]
+    got = {r["probability"]: r["value"] for r in profile.exact_quantiles(df, ["x", "y"], [ranks[3], ranks[7], ranks[8]]).collect()}
+    assert list(got.values()).count(None) == 0 and sorted(got.values()) == [0.0, 1.0, 2.0 - 2**-52]
+    assert profile.exact_quantiles(df.filter("false"), ["x"], [0.5]).collect() == []
+    row = profile.describe(df, ["y"]).first()
+    assert (row["column"], row["count"], row["sum"], row["median"]) == ("y", 0, None, None)

@@ -2,119 +2,180 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weektide.functions.numeric import fixed_mean, fixed_sum, rnd
 from weektide.operators.quality import cardinalities
+from weektide.sources.durable import durable
 
 MEASURES = ["sales", "quantity", "discount", "profit"]
 
-# Buckets of the coarse pass of ``exact_quantiles``: a fixed amount of rows per
-# column for the running total, and each bucket a small share of the values.
-_BUCKETS = 1 << 16
+#: Buckets of a doubling of the values in the first pass, and of a bucket's range after it.
+_FINE, _SPLIT = 1 << 11, 1 << 12
+#: Rows of a bucket that one task may sort.
+_SMALL = 1 << 14
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float]
-) -> DataFrame:
-    """``(column, probability, value)`` with linear interpolation between ranks.
+def _first_bucket(value: Column) -> Column:
+    """A bucket that never falls as ``value`` rises, whatever the range: sign, power of
+    two, and place between that power and the next; NaN comes last."""
+    size = F.abs(value)
+    power = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+    place = F.least(F.greatest(size / F.pow(F.lit(2.0), power) - 1, F.lit(0.0)), F.lit(1 - 2.0**-30))
+    code = (power + 1023) * _FINE + F.floor(place * _FINE) + 1
+    return (
+        F.when(F.isnan(value), F.lit(2048 * _FINE)).when(value == 0, F.lit(0))
+        .when(value < 0, -code).otherwise(code).cast("bigint")
+    )
 
-    The built-in exact percentile keeps every distinct value in one buffer.  Here
-    one pass finds the range of each column, a second counts rows per bucket,
-    which tells the buckets that hold the asked ranks, and a third looks at the
-    values of those few buckets.  Only bucket counts and the chosen buckets are
-    ever shuffled, copies of a value collapse first, and what is broadcast has one
-    row per column, or per column and probability.  Bucket borders follow a signed
-    logarithm, so long tails spread over many buckets.
-    """
-    values = (
+
+def _unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
+    return (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], columns, "column", "value")
         .filter(F.col("value").isNotNull())
+        .withColumn("bucket", _first_bucket(F.col("value")))
     )
-    low, high = F.min("value"), F.max("value")
-    spans = values.groupBy("column").agg(
-        _squash(low).alias("low"), (_squash(high) - _squash(low)).alias("span")
-    )
-    place = F.coalesce(
-        F.try_divide(_squash(F.col("value")) - F.col("low"), F.col("span")), F.lit(0.0)
-    )
-    placed = values.join(F.broadcast(spans), "column").select(
-        "column", "value",
-        F.least(F.floor(place * _BUCKETS), F.lit(_BUCKETS - 1)).alias("bucket"),
-    )
-    along = W.partitionBy("column").orderBy("bucket")
-    buckets = (
-        placed.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("size"))
-        .withColumns(
-            {
-                "upto": F.sum("size").over(along.rowsBetween(W.unboundedPreceding, 0)),
-                "total": F.sum("size").over(W.partitionBy("column")),
-            }
+
+
+def _holding(buckets: DataFrame, wanted: list[tuple]) -> list[tuple]:
+    """The buckets that hold asked ranks.
+
+    ``buckets`` has ``(column, part, bucket, size, low, high)``; ``wanted`` has
+    ``(column, part, before, probability, position, rank)``, ``before`` being the number of
+    values before the part.  Returns ``wanted`` with the bucket's own number of values before it, and
+    its bucket, size, low and high: one for each asked rank.
+    """
+    spark = buckets.sparkSession
+    along = W.partitionBy("column", "part").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    asked = spark.createDataFrame(
+        wanted, "column string, part int, before bigint, probability double, position double, rank bigint"
+    )
+    upto = F.col("before") + F.col("upto")
+    found = (
+        buckets.withColumn("upto", F.sum("size").over(along))
+        .join(F.broadcast(asked), ["column", "part"])  # two rows for a column and probability
+        .filter((F.col("rank") < upto) & (F.col("rank") >= upto - F.col("size")))
+        .select("column", "part", (upto - F.col("size")).alias("before"), "probability", "position", "rank",
+                "bucket", "size", "low", "high")
+    )
+    return [tuple(r) for r in found.collect()]
+
+
+def _selected(values: DataFrame, counted: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Quantiles of ``values`` (column, value, bucket), whose buckets ``counted`` has counted."""
+    spark = values.sparkSession
+    totals = counted.groupBy("column").agg(F.sum("size").alias("total")).collect()
+    wanted = [
+        (r["column"], 0, 0, float(p), (r["total"] - 1) * float(p), rank)
+        for r in totals for p in probabilities
+        for rank in sorted({math.floor((r["total"] - 1) * p), math.ceil((r["total"] - 1) * p)})
+    ]
+    held, buckets = values.withColumn("part", F.lit(0)), counted.withColumn("part", F.lit(0))
+    stored = False
+    while True:
+        hits = _holding(buckets, wanted) if wanted else []
+        # Chosen buckets become parts; a column and probability has at most two of them.
+        parts: dict[tuple, int] = {}
+        for column, part, _, _, _, _, bucket, *_ in hits:
+            parts.setdefault((column, part, bucket), len(parts))
+        ranges = {parts[h[0], h[1], h[6]]: h[7:] for h in hits}
+        chosen = spark.createDataFrame(
+            [(*k, n, *map(float, ranges[n][1:])) for k, n in parts.items()],
+            "column string, part int, bucket bigint, next int, low double, high double",
         )
+        held = (
+            held.join(F.broadcast(chosen), ["column", "part", "bucket"])
+            .select("column", F.col("next").alias("part"), "value", "low", "high", *(["n"] if stored else []))
+        )
+        wanted = [(h[0], parts[h[0], h[1], h[6]], *h[2:6]) for h in hits]
+        if all(size <= _SMALL or low == high for size, low, high in ranges.values()):
+            break
+        if not stored:
+            # Copies of a value collapse once; further passes read these rows alone.
+            held = durable(
+                held.groupBy("column", "part", "value", "low", "high").agg(F.count(F.lit(1)).alias("n"))
+            )
+            stored = True
+        place = F.coalesce(
+            F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0)
+        )
+        held = held.withColumn("bucket", F.least(F.floor(place * _SPLIT), F.lit(_SPLIT - 1)))
+        buckets = held.groupBy("column", "part", "bucket").agg(
+            F.sum("n").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        held = held.drop("low", "high")
+    asked = spark.createDataFrame(
+        wanted, "column string, part int, before bigint, probability double, position double, rank bigint"
     )
-    # Zero-based ranks on both sides of each asked quantile, in their bucket.
-    asked = F.array(*[F.lit(float(p)) for p in probabilities])
-    targets = (
-        buckets.withColumn("probability", F.explode(asked))
-        .withColumn("position", (F.col("total") - 1) * F.col("probability"))
-        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
-        .withColumn("before", F.col("upto") - F.col("size"))
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("before")))
-        .groupBy("column", "bucket", "before")
-        .agg(F.collect_set(F.struct("probability", "position", "rank")).alias("wanted"))
-    )
-    inside = W.partitionBy("column", "bucket").orderBy("value")
-    ordered = (
-        placed.join(F.broadcast(targets), ["column", "bucket"], "left_semi")
-        .groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("seen", F.sum("n").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-        .join(F.broadcast(targets), ["column", "bucket"])
-        .withColumn("upto", F.col("before") + F.col("seen"))
-    )
-    found = ordered.select("*", F.inline("wanted")).filter(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
-    )
-    part = F.max(F.col("position") - F.floor("position"))
-    return found.groupBy("column", "probability").agg(
-        (low + (high - low) * part).alias("value")
+    n = F.sum("n") if stored else F.count(F.lit(1))
+    inside = W.partitionBy("column", "part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    upto = F.col("before") + F.col("seen")
+    found = (
+        held.groupBy("column", "part", "value").agg(n.alias("n"))
+        .withColumn("seen", F.sum("n").over(inside))
+        .join(F.broadcast(asked), ["column", "part"])
+        .filter((F.col("rank") < upto) & (F.col("rank") >= upto - F.col("n")))
     )
+    low, high, part = F.min("value"), F.max("value"), F.max(F.col("position") - F.floor("position"))
+    return found.groupBy("column", "probability").agg((low + (high - low) * part).alias("value"))
 
 
-def _squash(value: Column) -> Column:
-    """A monotone signed logarithm."""
-    return F.signum(value) * F.log1p(F.abs(value))
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float]
+) -> DataFrame:
+    """``(column, probability, value)`` with linear interpolation between ranks.
+
+    The built-in exact percentile keeps every distinct value in one buffer.  Here
+    one pass counts values per bucket of a scale that needs no range, which tells the
+    buckets that hold the asked ranks, and a second looks at the values of those.  A
+    bucket that many values share is split by its own range, and again, until it is
+    small enough for one task to sort: each split makes the range ``_SPLIT`` times
+    narrower, so three of them reach single values.  Only counts and the chosen
+    buckets are ever shuffled, copies of a value collapse first, and what is broadcast
+    or collected has two rows per column and probability.
+    """
+    values = _unpivoted(df, columns)
+    counted = durable(values.groupBy("column", "bucket").agg(
+        F.count("value").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")
+    ))
+    return _selected(values, counted, probabilities)
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, spread, exact quartiles, IQR, sum and sign counts per measure."""
+    """Count, mean, spread, exact quartiles, IQR, sum and sign counts per measure.
+
+    The statistics of whole columns and the counts of their buckets come from one pass;
+    the quartiles take one more.
+    """
     chosen = columns or MEASURES
-    cells = []
-    for c in chosen:
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                rnd(fixed_mean(F.col(c)), 4).alias("mean"),
-                rnd(F.stddev_samp(F.col(c).cast("double")), 4).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-                fixed_sum(F.col(c)).alias("sum"),
-                F.count_if(F.col(c) < 0).alias("negative"),
-                F.count_if(F.col(c) == 0).alias("zero"),
-            )
-        )
-    basic = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    wide = exact_quantiles(df, chosen, [0.25, 0.5, 0.75]).groupBy("column").agg(
+    values, v = _unpivoted(df, chosen), F.col("value")
+    counted = durable(values.groupingSets([["column"], ["column", "bucket"]], "column", "bucket").agg(
+        F.grouping("bucket").alias("whole"),
+        F.count(v).alias("count"), rnd(fixed_mean(v), 4).alias("mean"), rnd(F.stddev_samp(v), 4).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"), fixed_sum(v).alias("sum"),
+        F.count_if(v < 0).alias("negative"), F.count_if(v == 0).alias("zero"),
+    ))
+    buckets = counted.filter("whole = 0").select(
+        "column", "bucket", F.col("count").alias("size"), F.col("min").alias("low"), F.col("max").alias("high")
+    )
+    wide = _selected(values, buckets, [0.25, 0.5, 0.75]).groupBy("column").agg(
         *[
-            rnd(F.max(F.when(F.col("probability") == p, F.col("value"))), 4).alias(name)
+            rnd(F.max(F.when(F.col("probability") == p, v)), 4).alias(name)
             for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
         ]
     )
-    return basic.join(wide, "column", "left").withColumn(
-        "iqr", rnd(F.col("q75") - F.col("q25"), 4)
+    basic = counted.filter("whole = 1").drop("whole", "bucket")
+    # A column of NULLs alone has a row as well; one row per column.
+    names = df.sparkSession.createDataFrame([(c,) for c in chosen], "column string")
+    return (
+        names.join(F.broadcast(basic), "column", "left").join(F.broadcast(wide), "column", "left")
+        .fillna(0, ["count", "negative", "zero"])
+        .withColumn("iqr", rnd(F.col("q75") - F.col("q25"), 4))
     )
 
 
