@@ -293,6 +293,54 @@ def _(spark, path):
     return R.shapiro_wilk(_seasonal(spark, path, keys), keys)
 
 
+def _polynomial(coefficients, x: str) -> str:
+    """Horner's scheme in SQL, highest power first."""
+    out = f"{float(coefficients[0])!r}::DOUBLE"
+    for c in coefficients[1:]:
+        out = f"({out} * ({x}) + {S.dbl(repr(float(c)))})"
+    return out
+
+
+def _quantile(p: str) -> str:
+    """The standard normal quantile in SQL, by the coefficients of ``residuals``."""
+    def ratio(part: str, x: str) -> str:
+        above, below = (_polynomial(c[::-1], x) for c in R._QUANTILE[part])
+        return f"{above} / {below}"
+
+    q, tail = f"(({p}) - 0.5)", f"sqrt(-ln(least({p}, 1 - ({p}))))"
+    return f"""(CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio('middle', f'0.180625 - {q} * {q}')}
+      WHEN {tail} <= 5 THEN sign({q}) * {ratio('tail', f'{tail} - 1.6')}
+      ELSE sign({q}) * {ratio('far', f'{tail} - 5')} END)"""
+
+
+@query(
+    "shapiro_w",
+    _pred(["category"]) + f""", r1 AS (
+  SELECT category, e, CAST(row_number() OVER (PARTITION BY category ORDER BY e) AS DOUBLE) AS i,
+         CAST(count(*) OVER (PARTITION BY category) AS DOUBLE) AS k FROM x WHERE e IS NOT NULL
+), m1 AS (
+  SELECT *, {_quantile('(i - 0.375) / (k + 0.25)')} AS m FROM r1
+), s1 AS (
+  SELECT category, k, sum(m * m) AS mm, sum(m * e) FILTER (i > 2 AND i < k - 1) AS inside,
+         max(m) FILTER (i = k) AS m1, max(m) FILTER (i = k - 1) AS m2,
+         max(e) FILTER (i = 1) AS x1, max(e) FILTER (i = 2) AS x2,
+         max(e) FILTER (i = k - 1) AS y2, max(e) FILTER (i = k) AS y1,
+         var_pop(e) * count(*) AS squares FROM m1 GROUP BY ALL
+), u1 AS (
+  SELECT *, {_polynomial((*R._LAST, 0.0), '1 / sqrt(k)')} + m1 / sqrt(mm) AS last,
+         {_polynomial((*R._SECOND, 0.0), '1 / sqrt(k)')} + m2 / sqrt(mm) AS second FROM s1
+), w1 AS (
+  SELECT *, (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * last * last - 2 * second * second) AS phi FROM u1
+)
+SELECT category, CAST(k AS BIGINT) AS n,
+       {S.rnd('power(last * (y1 - x1) + second * (y2 - x2) + inside / sqrt(phi), 2) / squares', 4)} AS shapiro_stat
+FROM w1""",
+)
+def _(spark, path):
+    keys = ["category"]
+    return R.shapiro_wilk(_seasonal(spark, path, keys), keys).drop("shapiro_pval")
+
+
 @query(
     "durbin_watson",
     _pred(["category"]) + f""", d AS (SELECT *, e - lag(e) OVER ({S.over(['category'])}) AS de FROM x)
