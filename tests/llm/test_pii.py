@@ -98,3 +98,50 @@ def test_rows_and_columns_stay(documents, rows, no_documents):
 def test_no_python_in_the_plan(documents):
     plan = pseudonymise(documents, "text", "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_values_beside_other_digits(spark):
+    """A value is found, and stays linked, whatever stands next to it."""
+    values = {
+        "card": "4111 1111 1111 1111", "plain": "5500005555555559", "amex": "3782 822463 10005",
+        "phone": "988-555-2485", "other": "988-555-2486", "iban": "BE68 5390 0754 7034",
+        "german": "DE89 3704 0044 0532 0130 00", "ssn": "123-45-6789", "ip": "10.1.2.3", "date": "2001-02-03",
+    }
+    alone = dict(zip(values, run(spark, list(values.values())), strict=True))
+    assert all(alone[k] != v for k, v in values.items())
+    beside = ["12/27", "123", "EUR", "ABCD EFGH", "7", "12", "x", "1234"]
+    pairs = [(a, b) for a in values for b in values if a != b]
+    texts = [f"{v} {b}" for v in values.values() for b in beside]
+    texts += [f"order {b} {v}" for v in values.values() for b in ("7", "12", "no")]
+    texts += [f"{values[a]} {values[b]}" for a, b in pairs]
+    want = [f"{alone[k]} {b}" for k in values for b in beside]
+    want += [f"order {b} {alone[k]}" for k in values for b in ("7", "12", "no")]
+    want += [f"{alone[a]} {alone[b]}" for a, b in pairs]
+    wrong = [(t, g, w) for t, g, w in zip(texts, run(spark, texts), want, strict=True) if g != w]
+    assert not wrong, wrong[:5]
+
+
+def test_no_two_dates_share_a_pseudonym(spark):
+    """All days of 1900-2099 in every way of writing them."""
+    ways = ["{y}-{m:02}-{d:02}", "{y}/{m}/{d}", "{d:02}.{m:02}.{y}", "{m:02}/{d:02}/{y}", "{d:02}/{m:02}/{y}", "{d}/{m}/{y}"]
+    first = datetime.date(1900, 1, 1)
+    days = [first + datetime.timedelta(k) for k in range(73049)]
+    told, texts = [], []
+    for way in ways:
+        dates = list(dict.fromkeys(way.format(y=d.year, m=d.month, d=d.day) for d in days))
+        told.append(dates)
+        texts += ["\n".join(dates[k : k + 1000]) for k in range(0, len(dates), 1000)]
+    new = iter("\n".join(run(spark, texts)).split("\n"))
+    for dates in told:
+        moved = [next(new) for _ in dates]
+        assert len(set(moved)) == len(dates)
+        if len(dates[0]) == 10 and all(len(d) == 10 for d in dates):
+            assert [re.sub("[0-9]", "9", t) for t in moved] == [re.sub("[0-9]", "9", t) for t in dates]
+
+
+def test_formats_are_kept(spark):
+    short, address, zeros, email = run(spark, ["2001-2-3", "10.1.1.1", "010.1.1.1", "ä.Öb7@x.org"])
+    assert re.fullmatch("(19|20)[0-9]{2}-[1-9]-[1-9]", short) and short != "2001-2-3"
+    assert zeros == "010.1.1.1" and address != "10.1.1.1"
+    name = email.removesuffix("@x.org")
+    assert name != "ä.Öb7" and re.fullmatch("[à-öø-þ][.][À-ÖØ-Þ][a-z][0-9]", name)
