@@ -104,3 +104,41 @@ def test_length_header_lies():
     raw[1] = raw[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
     ids, gaps = found(b"".join(raw))
     assert ids == ["<urn:x-page:0>", "<urn:x-page:2>"] and len(gaps) == 1
+
+
+def test_one_bad_record_of_a_member_costs_one_record():
+    raw = records(5)
+    wrong = raw[2].replace(b"page 2", b"page X", 1)
+    member = gzip.compress(b"".join([*raw[:2], wrong, *raw[3:]]))
+    rows = list(warc.salvage(member))
+    assert [r.get("record_id") for r in rows] == ["<urn:x-page:0>", "<urn:x-page:1>", None, "<urn:x-page:3>", "<urn:x-page:4>"]
+    gap = rows[2]
+    assert gap["problem"] and (gap["inner_offset"], gap["inner_length"]) == (len(raw[0] + raw[1]), len(wrong))
+    junk = gzip.compress(raw[0] + b"junk" + raw[1])
+    ids = [r.get("record_id") for r in warc.salvage(junk + gzip.compress(raw[2]))]
+    assert ids == ["<urn:x-page:0>", None, "<urn:x-page:1>", "<urn:x-page:2>"]
+
+
+def test_a_cut_member_keeps_what_came_before():
+    raw = records(5)
+    for level in (0, 6):
+        member = gzip.compress(b"".join(raw), level)
+        after = gzip.compress(raw[0])
+        ids, gaps = found(member[:-20] + after)
+        assert ids[-1] == "<urn:x-page:0>" and gaps == [(0, len(member) - 20)]
+        assert ids[:-1] == [f"<urn:x-page:{k}>" for k in range(len(ids) - 1)] and len(ids) >= 4
+
+
+def test_digests_of_other_kinds():
+    payload = b"some payload"
+    sha1, sha256 = hashlib.sha1(payload), hashlib.sha256(payload)
+    good = [
+        "sha1:" + base64.b32encode(sha1.digest()).decode(), "sha1:" + sha1.hexdigest(), "SHA1:" + sha1.hexdigest().upper(),
+        "sha256:" + sha256.hexdigest(), "sha-256:" + base64.b32encode(sha256.digest()).decode(),
+        "md5:" + hashlib.md5(payload).hexdigest(), "blake3:00ff", "sha256:=?=", "xxh:1",
+    ]
+    bad = ["sha1:" + hashlib.sha1(b"x").hexdigest(), "sha256:" + "0" * 64, "md5:" + "a" * 32]
+    for text, whole in [(g, True) for g in good] + [(b, False) for b in bad]:
+        raw = warc.record_bytes(1, "u", payload, "D", "response", None, "d").replace(b"sha1:D", text.encode())
+        ids, gaps = found(raw)
+        assert (len(ids), len(gaps)) == ((1, 0) if whole else (0, 1)), text

@@ -3,7 +3,8 @@
 The writer packs records, each a gzip member of its own, into archives of bounded
 size.  The reader walks an archive member by member (or, in plain archives, record
 by record).  Where a check fails it searches for the next position at which a whole
-valid record starts, goes on from there, and reports the bytes in between as a gap.
+valid record starts, goes on from there, and reports the bytes in between as a gap; it
+does so inside of members as well, also of damaged ones as far as they can be inflated.
 
 Defined results: a NULL payload is an empty one, a NULL url leaves the target out, a
 NULL id gives an empty record id which reads back as NULL.  Rows that repeat the
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weektide.llm.store import sent_if_few
+
 #: Bytes after which an archive is closed; one larger record still makes one archive.
 ARCHIVE_BYTES = 16 << 20
 
@@ -32,13 +35,14 @@ _ID = "<urn:x-page:{}>"
 RECORDS = (
     "path string, offset bigint, length bigint, problem string, record_id string, "
     "record_type string, target_uri string, payload_digest string, refers_to string, "
-    "http_length bigint, payload binary"
+    "http_length bigint, payload binary, inner_offset bigint, inner_length bigint"
 )
 _RECORDS = pa.schema([
     ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
     ("problem", pa.string()), ("record_id", pa.string()), ("record_type", pa.string()),
     ("target_uri", pa.string()), ("payload_digest", pa.string()),
     ("refers_to", pa.string()), ("http_length", pa.int64()), ("payload", pa.binary()),
+    ("inner_offset", pa.int64()), ("inner_length", pa.int64()),
 ])
 
 
@@ -60,8 +64,9 @@ def plan_records(
     """Rows ``id, url, payload, digest, record_type, refers_to`` of the records to write.
 
     Among equal payloads of at least ``least_bytes`` bytes the one with the largest id
-    is the response and the others revisit it.  Only (digest, id) pairs are grouped,
-    and only digests that occur more than once come back, so payloads never move.
+    is the response and the others revisit it.  Only (digest, id) pairs are grouped, and
+    only digests that occur more than once come back.  If they are few, they are sent to
+    the payloads; beyond that the join shuffles payloads by digest.
     """
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -73,6 +78,7 @@ def plan_records(
         .agg(F.count("*").alias("n"), F.max("id").alias("kept"))
         .where("n > 1 and kept is not null").select("digest", "kept")
     )
+    copies = sent_if_few(copies, "copies")
     revisits = F.expr("kept is not null and (id is null or id < kept)")
     return rows.join(copies, "digest", "left").select(
         "id", "url", "payload", "digest",
@@ -171,9 +177,8 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
         http_length = int(found[1]) if found else None
     kind = fields.get("warc-type")
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if kind != "revisit" and digest:
-        if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-            raise ValueError("payload digest differs")
+    if kind != "revisit" and digest and not _agrees(digest, payload):
+        raise ValueError("payload digest differs")
     return {
         "record_id": fields.get("warc-record-id"), "record_type": kind,
         "target_uri": fields.get("warc-target-uri"), "payload_digest": digest or None,
@@ -182,56 +187,125 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     }, start + size + 4
 
 
-def _at(data: bytes, pos: int) -> tuple[list[dict], int]:
-    """The records of the member, or the plain record, at ``pos`` and where it ends."""
-    if not data.startswith(b"\x1f\x8b", pos):
-        record, end = _parse(data, pos)
-        return [record], end
+def _agrees(digest: str, payload: bytes) -> bool:
+    """Whether a payload has that digest; one of an unknown algorithm or encoding is not checked.
+
+    Without a label it is SHA-1.  Hexadecimal and base32 are told apart by their length.
+    """
+    label, colon, value = digest.rpartition(":")
+    label = label.lower().replace("-", "") if colon else "sha1"
+    if label not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    made = hashlib.new(label, payload).digest()
+    if len(value) == 2 * len(made):
+        return value.lower() == made.hex()
+    base32 = base64.b32encode(made).decode()
+    if len(value.rstrip("=")) == len(base32.rstrip("=")):
+        return value.upper().rstrip("=") == base32.rstrip("=")
+    return True
+
+
+def _inflated(data: bytes, pos: int) -> tuple[bytes, int, str | None]:
+    """What can be inflated of the member at ``pos``, where that ends, and what is wrong with it."""
     inflate, parts, fed, view = zlib.decompressobj(31), [], pos, memoryview(data)
-    try:
-        while not inflate.eof and fed < len(data):
+    while not inflate.eof and fed < len(data):
+        before = inflate.copy()
+        try:
             parts.append(inflate.decompress(view[fed : fed + _STEP]))
             fed = min(fed + _STEP, len(data))
-    except zlib.error as error:
-        raise ValueError(str(error)) from error
+        except zlib.error as error:
+            # Byte by byte up to the damage.
+            try:
+                while fed < len(data):
+                    parts.append(before.decompress(view[fed : fed + 1]))
+                    fed += 1
+            except zlib.error:
+                pass
+            return b"".join(parts), fed, str(error)
     if not inflate.eof:
-        raise ValueError("member cut short")
-    raw, records, at = b"".join(parts), [], 0
-    while at < len(raw):
-        record, at = _parse(raw, at)
-        records.append(record)
-    return records, fed - len(inflate.unused_data)
+        return b"".join(parts), len(data), "member cut short"
+    return b"".join(parts), fed - len(inflate.unused_data), None
+
+
+def _plain(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
+    """Begin and end of the records and gaps of plain bytes, with the record or what is wrong."""
+    pos, bad, why = 0, None, None
+    while pos < len(data):
+        if bad is None:
+            pos = _PADDING.match(data, pos).end()
+            if pos == len(data):
+                break
+        try:
+            record, end = _parse(data, pos)
+        except ValueError as error:
+            if bad is None:
+                bad, why = pos, str(error)
+            found = _VERSION.search(data, pos + 1)
+            pos = found.start() if found else len(data)
+            continue
+        if bad is not None:
+            yield bad, pos, None, why
+            bad = None
+        yield pos, end, record, None
+        pos = end
+    if bad is not None:
+        yield bad, len(data), None, why
 
 
 #: Bytes given to the decompressor at a time.
 _STEP = 1 << 14
 _VERSION = re.compile(rb"WARC/1\.\d\r\n")
+_MEMBER = re.compile(rb"\x1f\x8b\x08")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
 _PADDING = re.compile(rb"[\0\r\n]*")
 
 
 def salvage(data: bytes) -> Iterator[dict]:
-    """All whole records of an archive, and a row with ``problem`` for each gap."""
+    """All whole records of an archive, and a row with ``problem`` for each gap.
+
+    ``offset`` and ``length`` are those of the member, or of the plain record.  Within a
+    member ``inner_offset`` and ``inner_length`` tell the place in its inflated bytes: a
+    record there that fails a check is a gap of its own, and the search goes on at the
+    next version line.  A member that cannot be inflated to its end, or whose checksum
+    differs, is a gap itself; records before the damage are told with length 0, but for
+    one that ends where the inflated bytes end, as nothing vouches for its end.
+    """
     pos, bad, why = 0, None, None
     while pos < len(data):
         if bad is None:
             pos = _PADDING.match(data, pos).end()
             if pos == len(data):
                 break
-        try:
-            records, end = _at(data, pos)
-        except ValueError as error:
-            if bad is None:
-                bad, why = pos, str(error)
-            found = _START.search(data, pos + 1)
-            pos = found.start() if found else len(data)
-            continue
-        if bad is not None:
+        rows, end, problem, after = [], None, None, pos + 1
+        if data.startswith(b"\x1f\x8b", pos):
+            raw, stop, problem = _inflated(data, pos)
+            # Version lines before the damage belong to the member, and are done with it.
+            end, after = None if problem else stop, max(stop, pos + 1) if problem else pos + 1
+            for begin, stop, record, wrong in _plain(raw):
+                place = {"offset": pos, "inner_offset": begin, "inner_length": stop - begin}
+                if record is not None and (end is not None or stop < len(raw)):
+                    rows.append(place | {"length": end - pos if end else 0, "problem": None, **record})
+                elif record is None and end is not None:
+                    rows.append(place | {"length": end - pos, "problem": wrong})
+            if end is not None and rows and all(r["problem"] for r in rows):
+                problem, end, rows = rows[0]["problem"], None, []
+        else:
+            try:
+                record, end = _parse(data, pos)
+                rows = [{"offset": pos, "length": end - pos, "problem": None, **record}]
+            except ValueError as error:
+                problem = str(error)
+        if end is not None and bad is not None:
             yield {"offset": bad, "length": pos - bad, "problem": why}
             bad = None
-        for record in records:
-            yield {"offset": pos, "length": end - pos, "problem": None, **record}
-        pos = end
+        yield from rows
+        if end is None:
+            if bad is None:
+                bad, why = pos, problem
+            starts = [p.search(data, at) for p, at in ((_MEMBER, pos + 1), (_START, after))]
+            pos = min((m.start() for m in starts if m), default=len(data))
+        else:
+            pos = end
     if bad is not None:
         yield {"offset": bad, "length": len(data) - bad, "problem": why}
 
