@@ -5,6 +5,7 @@ import pytest
 
 from conftest import as_documents
 from weektide.llm.langid import Model, has_letter, identify, proportions, train
+from weektide.llm.q_langid import fitted
 
 STEMS = {
     "aa": "the and thing with that for ing tion ers".split(),
@@ -73,3 +74,20 @@ def test_results_do_not_depend_on_neighbours(model):
 def test_ties_go_to_the_first_language():
     model = Model(["x", "y"], np.full((1 << 16, 2), -3.0, np.float32))
     assert proportions(model, ["abc def"]).tolist() == [[1.0, 0.0]]
+
+
+def test_fit_tells_known_languages_from_others(spark):
+    """Documents of the given table fit; random letters and other languages don't."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = fitted(docs)
+    fits = [r.fit for r in identify(docs, "doc_id", "text", model).collect() if r.fit is not None]
+    assert sum(f > -1.4 for f in fits) >= 0.995 * len(fits)
+    rng = random.Random(1)
+    texts = [
+        " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(3, 8))) for _ in range(n))
+        for n in (20, 200, 2000)
+    ] + ["日本語のテキストはここにあります。これは文章です。" * 5,
+         "Příliš žluťoučký kůň úpěl ďábelské ódy, a všechny děti se dívaly na krásné město plné lidí"]
+    odd = spark.createDataFrame(list(enumerate([*texts, "123", None])), "doc_id long, text string")
+    got = {r.doc_id: r.fit for r in identify(odd, "doc_id", "text", model).collect()}
+    assert all(got[k] < -1.4 for k in range(len(texts))) and got[5] is None and got[6] is None

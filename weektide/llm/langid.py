@@ -36,7 +36,7 @@ _U = np.uint64
 
 RESULT = (
     "doc_id bigint, lang_pred string, score double, "
-    "proportions array<struct<lang:string,share:double>>"
+    "proportions array<struct<lang:string,share:double>>, fit double"
 )
 
 
@@ -47,6 +47,13 @@ class Model:
     languages: list[str]
     weights: np.ndarray
 
+    def expected(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and spread of an n-gram's log probability in each language, by the model itself."""
+        weights = self.weights.astype(float)
+        p = np.exp(weights)
+        mean = (p * weights).sum(0)
+        return mean, np.sqrt(np.maximum((p * weights * weights).sum(0) - mean * mean, 1e-12))
+
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -151,10 +158,17 @@ def _mixture(like: np.ndarray, owner: np.ndarray, allowed: np.ndarray) -> np.nda
 
 def proportions(model: Model, texts: list[str]) -> np.ndarray:
     """Shares of the chosen languages in every text; texts without words get zeros."""
-    out = np.zeros((len(texts), len(model.languages)))
+    return measured(model, texts)[0]
+
+
+def measured(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shares, and how well each text fits: how many spreads an n-gram's mean log
+    probability, each word taken in its best language, lies above what the text's main
+    language would give.  It is NaN without words."""
+    out, fit_of = np.zeros((len(texts), len(model.languages))), np.full(len(texts), np.nan)
     slots, begins, owner = _words(texts)
     if not len(begins) or not model.languages:
-        return out
+        return out, fit_of
     logs = np.add.reduceat(model.weights[slots], begins, axis=0)
     best = logs.max(1, keepdims=True)
     like = np.exp(np.maximum(logs - best, -60))
@@ -193,17 +207,22 @@ def proportions(model: Model, texts: list[str]) -> np.ndarray:
         shares[open_[better]] = got[better]
         value[open_[better]] = (made - most * penalty[open_])[better]
     out[docs] = shares
-    return out
+    mean, spread = model.expected()
+    grams = np.bincount(local, np.diff(begins, append=len(slots)))
+    main = shares.argmax(1)
+    fit_of[docs] = (np.bincount(local, best[:, 0]) / grams - mean[main]) / spread[main]
+    return out, fit_of
 
 
 def identify(docs: DataFrame, id_col: str, text_col: str, model: Model) -> DataFrame:
-    """Language, its share, and all shares of the chosen languages of every document."""
+    """Language, its share, all shares of the chosen languages, and the fit of every
+    document: NULL without words, far below zero for text in no language of the model."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, _SLICE):
                 texts = part.column(1).to_pylist()
-                shares = proportions(model, [t if has_letter(t) else "" for t in texts])
+                shares, fits = measured(model, [t if has_letter(t) else "" for t in texts])
                 names, scores, lists = [], [], []
                 for row in shares:
                     some = [(model.languages[i], row[i]) for i in np.flatnonzero(row > 0)]
@@ -213,8 +232,8 @@ def identify(docs: DataFrame, id_col: str, text_col: str, model: Model) -> DataF
                     lists.append([{"lang": k, "share": float(v)} for k, v in some])
                 yield pa.record_batch(
                     [part.column(0), pa.array(names, pa.string()), pa.array(scores),
-                     pa.array(lists, _SHARES)],
-                    ["doc_id", "lang_pred", "score", "proportions"],
+                     pa.array(lists, _SHARES), pa.array(fits, pa.float64(), from_pandas=True)],
+                    ["doc_id", "lang_pred", "score", "proportions", "fit"],
                 )
 
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
