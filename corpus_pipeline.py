@@ -22,6 +22,11 @@ from weektide.llm.store import sent_if_few, shared_path, stored, tuned
 
 #: A document is rejected when no language makes up this share of it.
 LEAST_SHARE = 0.3
+#: It is rejected as well when it fits its main language worse than this (see
+#: ``langid.measured``): documents in the model's languages lie above -1.4, but for one in
+#: ten thousand very short ones; random letters and other languages lie from -2.7 down with
+#: a model of some thousand documents, from -1.5 down with one of some hundred.
+LEAST_FIT = -1.4
 
 
 def _tag(name: str, df: DataFrame) -> str:
@@ -49,11 +54,12 @@ def _without(keyed: DataFrame, row: str, rows: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a main language, go."""
+    """Documents without letters, without a main language, or in none that is known, go."""
     tuned(spark)
     keyed, row = _keyed(docs)
     found = identify(keyed, row, "text", fitted(docs))
-    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE))
+    unlike = F.coalesce(F.col("fit") < LEAST_FIT, F.lit(False))
+    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SHARE) | unlike)
     return _without(keyed, row, rejected.select("doc_id"))
 
 
