@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from weektide.llm.html import best_region, extract, learn, main_text, observe, weigh
+from weektide.llm.html import best_region, extract, learn, main_text, observe, parts, weigh
 
 WEIGHTS = weigh({})
 BODY = "<p>" + "</p><p>".join(f"Sentence {k} of the article has a number of words." for k in range(6)) + "</p>"
@@ -76,3 +76,77 @@ def test_weights_come_from_labelled_pages(spark):
     assert learned["text", "div"] < WEIGHTS["text", "div"] and learned["text", "p"] >= WEIGHTS["text", "p"]
     assert learned["tag", "div"] < learned["tag", "p"] < 0
     assert observe("<p>no label</p>") == {}
+
+
+WRAPPERS = [
+    "<div class='container has-sidebar'>{}</div>", "<div class='post no-comments'>{}</div>",
+    "<form id='aspnetForm' method=post>{}</form>", "<div class='social-wrapper'>{}</div>",
+    "<div id='page-header-fixed'>{}</div>", "<div class='widget'><main>{}</main></div>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<h1>Title</h1><div>{}</div>"])
+def test_wrappers_keep_their_article(wrapper, inner):
+    before = "<nav><a href=x>Home page</a></nav><div class='share'>Share this with all</div>"
+    after = "<div class='comments'><article><p>" + "A reader writes this. " * 60 + "</p></article></div>"
+    page = f"<body>{before}{wrapper.format(before + inner.format(BODY) + after)}{after}</body>"
+    assert extract(page, WEIGHTS) == ("Title\n" if "<h1>" in inner else "") + TEXT
+
+
+@pytest.mark.parametrize("part", [
+    "<form class='search-box'><p>Write here what you seek, or choose from the list</p></form>",
+    "<div class='site-header-fixed'><p>Words at the head of each page of this site</p></div>",
+    "<section class='comments-section'><article><p>" + "A reader's words. " * 90 + "</p></article></section>",
+    "<div class='related-posts'><article><p>Another article's teaser</p></article></div>",
+    "<div class='share-wrapper'><div class='comments'><article><p>I think so</p></article></div></div>",
+])
+def test_parts_that_hold_no_article_stay_out(part):
+    for page in (f"{part}<article>{BODY}</article>", f"<article>{BODY}</article>{part}", f"<div>{BODY}</div>{part}"):
+        assert extract(page, WEIGHTS) == TEXT
+
+
+def test_a_page_that_is_a_form_has_no_article():
+    assert extract("<body><form><p>Your name and your password, please</p></form></body>", WEIGHTS) == ""
+
+
+def test_formulas_and_fallback_content_are_text():
+    page = (
+        "<article><p>The value <math>x = 4<annotation>x=4</annotation></math> holds, as "
+        "<math><mi>y</mi> <mo>&lt;</mo> <mn>2</mn></math> does.</p><p>Seen <object data=a>in words</object> "
+        "<svg class=a/>by <svg><text>no</text></svg>all <button-like>of us</button-like></p></article>"
+    )
+    assert extract(page, WEIGHTS) == "The value x = 4 holds, as y < 2 does.\nSeen in words by all of us"
+
+
+def test_whole_pages_against_brute_force():
+    """The text is that of the best of all runs of parts, tried one by one."""
+    rng = random.Random(2)
+    pieces = ["<p>", "</p>", "<div class=ad>", "<div>", "</div>", "<article>", "</article>", "<li>", "<br>",
+              "one two", " three ", "four five six seven", "<nav>", "</nav>", "<form>", "</form>", "<td>", "&amp;"]
+    for _ in range(400):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        seen = parts(page)
+        scores = []
+        for kind, value, barred, _ in seen:
+            if kind == "tag":
+                scores.append(WEIGHTS.get(("tag", value), -0.5))
+            else:
+                name, _, text = value.partition("|")
+                scores.append(len(text.split()) * (-2.0 if barred else WEIGHTS.get(("text", name), 0.5)))
+        runs = [(a, b) for a in range(len(seen)) for b in range(a + 1, len(seen) + 1)]
+        best = max((sum(scores[a:b]) for a, b in runs), default=0)
+        tied = [r for r in runs if abs(sum(scores[r[0]:r[1]]) - best) < 1e-9] if best > 1e-9 else [(0, 0)]
+        texts = set()
+        for a, b in tied:
+            out = ""
+            for kind, value, barred, _ in seen[a:b]:
+                if kind == "text":
+                    out += " " if barred else value.partition("|")[2].replace("&amp;", "&")
+                elif value in ("p", "div", "article", "li", "nav", "form"):
+                    out += "\n"
+                elif value in ("br", "td"):
+                    out += " "
+            lines = [" ".join(x.split()) for x in out.split("\n")]
+            texts.add("\n".join(x for x in lines if x))
+        assert extract(page, WEIGHTS) in texts, page

@@ -5,7 +5,9 @@ which is positive where articles have their words; tags score negative, the less
 more they belong to articles.  A linear scan finds the contiguous region of the highest
 sum.  Elements that are no part of an article wherever they stand (menus, forms,
 scripts, adverts, reader comments and the like) cost their words and are left out of the
-region's text.
+region's text.  A name alone bars no article: names are read class by class, a form or an
+element whose name only mentions such a part counts as a wrapper if it holds an article
+or most of the page's words, and what a wrapper holds is left to the scan.
 
 Weights are log odds, learned from pages that label themselves: their article or main
 element says what is content.  Counts start from a prior, so pages of kinds never seen
@@ -14,13 +16,15 @@ still get sensible weights.
 Defined results: NULL or empty pages, and pages without a region that scores above
 zero, give an empty text.  Unclosed and stray tags are tolerated; a tag cut off at the
 end of a page is dropped.  White space, a no-break space included, becomes one space;
-``<br>`` and table cells part words, not blocks.  Equal pages give equal texts; no rows
-give none.
+``<br>`` and table cells part words, not blocks.  Formulas and what stands in for an object
+are text of their line; drawings, frames and controls are none.  Equal pages give equal
+texts; no rows give none.  Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import html as entities
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-_RAW = "script style noscript template textarea svg math iframe object canvas title select button"
+_RAW = (
+    "script style noscript template textarea svg iframe title select button annotation-xml annotation"
+)
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li "
@@ -43,9 +49,12 @@ _BLOCK = frozenset(
 _APART = frozenset("br td th option".split())
 _INLINE = frozenset(
     "abbr b bdi bdo big br cite code del dfn em font i img ins kbd mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math maction menclose merror mfrac mi "
+    "mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover none semantics object canvas".split()
 )
-_NEVER = frozenset("aside dialog footer form head menu nav".split())
+_NEVER = frozenset("aside dialog footer head menu nav".split())
+_PAGE_PARTS = frozenset("article footer h1 header main nav".split())
 _ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
     "search status toolbar".split()
@@ -57,6 +66,13 @@ _AROUND = frozenset(
     "overlay pager pagination popup promo promotion recommended related search share sharing "
     "sidebar sidenav signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that say where such a part stands or what shape it has, and words before a name
+# that speaks of an element's state instead of its part.
+_PLACE = frozenset(
+    "area bar block bottom box button buttons col column group inner item items left link "
+    "links list outer panel posts primary right secondary section site slot top unit".split()
+)
+_STATE = frozenset("has hide is js no not show supports with without".split())
 # Words seen inside and outside of articles by their element, before any page is.
 _PRIOR = {
     "p": (30, 3), "blockquote": (10, 2), "pre": (10, 2), "h1": (10, 2), "h2": (10, 3),
@@ -67,7 +83,8 @@ _PRIOR = {
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({_RAW.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<svg(?=[\s/])[^>]*/>"
+    rf"|<({_RAW.replace(' ', '|')})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
@@ -79,32 +96,67 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _OUTSIDE = -2.0
 
 
-def _excluded(name: str, attributes: str, within: bool) -> bool:
-    """An element that belongs to no article; ``within``: it stands inside one."""
+#: How an element is barred: not at all, as a wrapper may be, by its name, in any case.
+_OPEN, _MENTIONED, _NAMED, _BARRED = range(4)
+
+
+def _named(value: str) -> int:
+    """What the names in a class or id say."""
+    worst = _OPEN
+    for name in value.split():
+        words = [w.lower() for w in _NAME.findall(name)]
+        if words and words[0] not in _STATE and not _AROUND.isdisjoint(words):
+            whole = all(w in _AROUND or w in _PLACE for w in words)
+            worst = max(worst, _NAMED if whole else _MENTIONED)
+    return worst
+
+
+def _bar(name: str, attributes: str, within: bool) -> int:
+    """How far an element belongs to no article; ``within``: it stands inside one."""
     if name in _NEVER or (name == "header" and not within):
-        return True
+        return _BARRED
+    worst = _MENTIONED if name == "form" else _OPEN
     if not attributes.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return worst
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next(filter(None, values), "")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return _BARRED
         if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if key == "role" and value.lower() in _ROLES:
-            return True
+            return _BARRED
+        # A form may say that it is one.
+        if key == "role" and value.lower() in _ROLES and value.lower() != name:
+            return _BARRED
         if key in ("class", "id"):
-            names = {n.lower() for n in _NAME.findall(value)}
-            if names & _AROUND and not (within and name.startswith("h") and names == {"header"}):
-                return True
-    return False
+            title = within and name.startswith("h") and value.lower() == "header"
+            worst = max(worst, _OPEN if title else _named(value))
+    return worst
 
 
-def parts(page: str) -> Iterator[tuple[str, str, bool, bool]]:
+class _Wrapper:
+    """An element that is barred unless what it holds says otherwise."""
+
+    def __init__(self, bar: int, form: bool, height: int, begin: int) -> None:
+        self.bar, self.form, self.height, self.begin, self.end = bar, form, height, begin, None
+        self.holds = self.page_part = False
+
+
+def _lifted(wrapper: _Wrapper, words: list[int]) -> bool:
+    """``words``: words of the page before each of its parts."""
+    if wrapper.holds or wrapper.bar == _NAMED:
+        return wrapper.holds
+    most = 2 * (words[wrapper.end] - words[wrapper.begin]) > words[-1]
+    return most and (wrapper.page_part or not wrapper.form)
+
+
+def parts(page: str) -> list[tuple[str, str, bool, bool]]:
     """``kind, value, excluded, inside`` of texts (with their element first: ``p|text``)
     and tags in page order; ``inside`` an article or main element."""
+    found: list[tuple[str, str, bool, bool]] = []
     stack: list[str] = []
     barred = article = 0  # height of the stack at the outermost such element, plus one
+    wrappers: list[_Wrapper] = []
+    around: list[_Wrapper] = []  # those that are open
     at = 0
 
     def element() -> str:
@@ -115,10 +167,12 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         del stack[height:]
         barred = 0 if barred > height else barred
         article = 0 if article > height else article
+        while around and around[-1].height > height:
+            around.pop().end = len(found)
 
     for token in _TOKEN.finditer(page):
         if token.start() > at:
-            yield "text", f"{element()}|{page[at:token.start()]}", bool(barred), bool(article)
+            found.append(("text", f"{element()}|{page[at:token.start()]}", bool(barred), bool(article)))
         at = token.end()
         closing, name, attributes = token[2], token[3], token[4]
         if name is None:
@@ -127,7 +181,7 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         name = name.lower()
         if closing:
-            yield "tag", name, bool(barred), bool(article)
+            found.append(("tag", name, bool(barred), bool(article)))
             if name in stack:
                 cut(len(stack) - 1 - stack[::-1].index(name))
             continue
@@ -140,15 +194,52 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     break
         if name not in _VOID and not attributes.endswith("/"):
             stack.append(name)
-            if not article and (name in ("article", "main") or re.search(
+            is_main = name == "main" or re.search(
                 r"role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody", attributes, re.I
-            )):
+            )
+            if not barred and (name in _PAGE_PARTS or is_main):
+                for outer in reversed(around):
+                    outer.page_part = True
+                    if outer.bar == _NAMED and not is_main:
+                        break  # an article among comments, or a teaser
+                    outer.holds |= bool(name == "article" or is_main)
+            if not article and (name == "article" or is_main):
                 article = len(stack)
-            if not barred and _excluded(name, attributes, bool(article)):
+            bar = _OPEN if barred else _bar(name, attributes, bool(article))
+            if bar == _BARRED:
                 barred = len(stack)
-        yield "tag", name, bool(barred), bool(article)
+            elif bar:
+                around.append(_Wrapper(bar, name == "form", len(stack), len(found)))
+                wrappers.append(around[-1])
+        found.append(("tag", name, bool(barred), bool(article)))
     if at < len(page):
-        yield "text", f"{element()}|{page[at:]}", bool(barred), bool(article)
+        found.append(("text", f"{element()}|{page[at:]}", bool(barred), bool(article)))
+    cut(0)
+    return _settle(found, wrappers) if wrappers else found
+
+
+def _settle(
+    found: list[tuple[str, str, bool, bool]], wrappers: list[_Wrapper]
+) -> list[tuple[str, str, bool, bool]]:
+    """The parts of a page, those in wrappers that stay barred marked."""
+
+    def covered(chosen: list[_Wrapper]) -> list[bool]:
+        steps = [0] * (len(found) + 1)
+        for w in chosen:
+            steps[w.begin] += 1
+            steps[w.end] -= 1
+        return [total > 0 for total in itertools.accumulate(steps)]
+
+    named = covered([w for w in wrappers if w.bar == _NAMED and not w.holds])
+    words = [0]
+    for (kind, value, barred, _), apart in zip(found, named, strict=False):
+        counts = kind == "text" and not barred and not apart
+        words.append(words[-1] + (len(value.partition("|")[2].split()) if counts else 0))
+    out = covered([w for w in wrappers if not _lifted(w, words)])
+    return [
+        (kind, value, barred or apart, inside)
+        for (kind, value, barred, inside), apart in zip(found, out, strict=False)
+    ]
 
 
 def observe(page: str) -> dict[tuple[str, str], list[int]]:
