@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from weektide.operators import cleaning
 from weektide.operators import features as FE
 from weektide.operators import models as M
 from weektide.plans import pipelines
@@ -81,6 +82,38 @@ def test_unreadable_amounts_are_refused(spark, tmp_path):
     assert spark.read.parquet(out).first()["sales"] == 261.96  # the good table is still there
 
 
+@pytest.mark.parametrize("amount", ["NaN", "Infinity", "-Infinity"])
+def test_amounts_that_are_no_numbers_are_refused(spark, tmp_path, amount):
+    path = tmp_path / "nan.csv"
+    head = ",".join(RAW_HEADERS) + "\n"
+    path.write_bytes((head + LINE.replace("261.96", amount)).encode("latin-1"))
+    with pytest.raises(ValueError, match="unreadable_sales"):
+        pipelines.run_cleaning(spark, str(path), str(tmp_path / "c"))
+    typed = files.scan_raw_csv(spark, str(path))
+    assert typed.agg(cleaning.unreadable(typed)["sales"]).first()[0] == 1
+    assert cleaning.standardize_types(typed).first()["sales"] is None
+
+
+def test_quarantine_takes_each_row_once(spark, tmp_path):
+    path = tmp_path / "mixed.csv"
+    lines = [
+        LINE, LINE.replace("261.96", "abc").replace("11/8/2016", "13/45/2016"), "4,CA-1\n",
+        LINE.replace("1,CA", "5,CA", 1).rstrip() + ",more\n", LINE.replace(",2,0,", ",,,"),
+    ]
+    path.write_bytes((",".join(RAW_HEADERS) + "\n" + "".join(lines)).encode("latin-1"))
+    raw = files.scan_raw_csv(spark, str(path), typed=False, provenance=True)
+    good, apart = cleaning.split_readable(raw)
+    seen = [(r["row_id"], r["quantity"], r["sales"]) for r in good.collect()]
+    assert seen == [(1, 2, 261.96), (1, None, 261.96)]
+    assert set(good.columns) == set(TRANSACTION_SCHEMA.names)
+    rows = apart.orderBy(F.array_join("faults", ","), "row_id").collect()
+    assert [r["faults"] for r in rows] == [["order_date", "sales"], ["record"], ["record"]]
+    assert rows[0]["sales"] == "abc" and rows[0]["corrupt_record"] is None
+    assert rows[1]["corrupt_record"] == "4,CA-1" and rows[2]["corrupt_record"].endswith(",more")
+    assert all(r["file_path"].endswith("mixed.csv") and r["block_start"] == 0 for r in rows)
+    assert cleaning.split_readable(raw)[1].select("faults").count() == 3
+
+
 def test_cleaning_pipeline(spark, raw_file, tmp_path):
     out = str(tmp_path / "cleaned")
     summary = pipelines.run_cleaning(spark, raw_file, out).first()

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from weektide.functions.dates import parse_mixed_date
 from weektide.functions.text import postal_code, strip
-from weektide.schema import MONEY, RATE, TRIM_COLUMNS, text_columns
+from weektide.schema import MONEY, PROVENANCE, TRIM_COLUMNS, text_columns
 
 
 def trim_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -23,10 +23,17 @@ def _whole(col: Column) -> Column:
     return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
+def _amount(col: Column) -> Column:
+    """A finite amount; else NULL, ``NaN`` and infinities included."""
+    value = col.try_cast(MONEY)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def standardize_types(df: DataFrame) -> DataFrame:
     """Give the well-known columns their types; unreadable values become NULL.
 
-    ``unreadable`` counts those, so that they can be refused.
+    So do amounts that are no finite numbers.  ``unreadable`` counts both, so that they
+    can be refused.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out = {}
@@ -36,9 +43,9 @@ def standardize_types(df: DataFrame) -> DataFrame:
             out[name] = parse_mixed_date(F.col(name)) if is_text else F.col(name).cast("date")
     if "postal_code" in kinds:
         out["postal_code"] = postal_code(F.col("postal_code"))
-    for name, kind in (("sales", MONEY), ("profit", MONEY), ("discount", RATE)):
+    for name in AMOUNT_COLUMNS:
         if name in kinds:
-            out[name] = F.col(name).try_cast(kind)
+            out[name] = _amount(F.col(name))
     for name in ("quantity", "row_id"):
         if name in kinds:
             is_long = isinstance(kinds[name], T.LongType)
@@ -46,30 +53,57 @@ def standardize_types(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
+#: Columns with amounts and rates.
+AMOUNT_COLUMNS = ["sales", "profit", "discount"]
+
 #: Columns whose values may be unreadable.
 TYPED_COLUMNS = ["row_id", "order_date", "ship_date", "sales", "quantity", "discount", "profit"]
 
 
-def unreadable(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column]:
-    """Aggregates that count, per typed column, values that are there but can't be read.
-
-    ``df`` has the columns as written; blank text counts as missing.
-    """
+def _faults(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column]:
+    """Per typed column: the row's value is there but can't be read."""
     chosen = [c for c in (columns or TYPED_COLUMNS) if c in df.columns]
     out = {}
     for c in chosen:
         kind = df.schema[c].dataType
-        if not isinstance(kind, T.StringType):
-            continue
-        text = strip(F.col(c))
-        if c in ("order_date", "ship_date"):
-            value = parse_mixed_date(text)
-        else:
-            value = _whole(text) if c in ("quantity", "row_id") else text.try_cast("double")
-        out[c] = F.count_if((F.length(text) > 0) & value.isNull())
+        if isinstance(kind, T.StringType):
+            text = strip(F.col(c))
+            if c in ("order_date", "ship_date"):
+                value = parse_mixed_date(text)
+            else:
+                value = _whole(text) if c in ("quantity", "row_id") else _amount(text)
+            out[c] = F.coalesce((F.length(text) > 0) & value.isNull(), F.lit(False))
+        elif isinstance(kind, (T.DoubleType, T.FloatType)) and c in AMOUNT_COLUMNS:
+            out[c] = F.col(c).isNotNull() & _amount(F.col(c)).isNull()
     return out
 
 
+def unreadable(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column]:
+    """Aggregates that count, per typed column, values that are there but can't be read.
+
+    ``df`` has the columns as written, where blank text counts as missing, or amounts
+    that are numbers already, where ``NaN`` and infinities count.
+    """
+    return {c: F.count_if(bad) for c, bad in _faults(df, columns).items()}
+
+
+def split_readable(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(readable, quarantined)`` rows of a raw table, each row in exactly one.
+
+    ``raw`` comes from ``scan_raw_csv(typed=False, provenance=True)``.  Readable rows are
+    typed and without provenance.  Quarantined ones stay as written, with ``faults``: the
+    columns that can't be read, or ``record`` alone where the line has too few or too
+    many fields.
+    """
+    values = F.array(*[F.when(bad, F.lit(c)) for c, bad in _faults(raw).items()])
+    faults = F.when(F.col("corrupt_record").isNotNull(), F.array(F.lit("record"))).otherwise(
+        F.array_compact(values)
+    )
+    judged = raw.withColumn("faults", faults)
+    readable = judged.filter(F.size("faults") == 0).drop("faults", *PROVENANCE)
+    return standardize_types(readable), judged.filter(F.size("faults") > 0)
+
+
 def deduplicate(df: DataFrame, surrogate: str = "row_id") -> DataFrame:
     """One row per distinct combination of all columns but the surrogate.
 

@@ -8,7 +8,10 @@ from weektide.functions import dates, text
 from weektide.operators import cleaning, profile, quality, slicing
 from weektide.plans import sql as S
 from weektide.plans.registry import query, table
-from weektide.sources.files import file_fingerprints, with_calendar
+from weektide.schema import RAW_HEADERS, canonical_name
+from weektide.sources import sinks
+from weektide.sources.durable import shared_path
+from weektide.sources.files import file_fingerprints, scan_raw_csv, with_calendar
 from weektide.sources.star import COLUMNS
 
 # Members of the controlled columns of the star schema.  One member of each list
@@ -432,6 +435,76 @@ def _(spark, path):
     )
 
 
+# The columns that the star schema lacks, so that a raw file has all of its 21: text with
+# signs that need quotes and an encoding, and codes that lose their zeros.
+def _all_columns(spark, path):
+    full = table(spark, path)
+    return full.withColumns({
+        "country": F.col("region"),
+        "city": F.concat(F.lit('Zoë’s €, "'), F.col("state"), F.lit('"')),
+        "postal_code": F.col("customer_id") % 100000,
+    })
+
+
+_TEXTS = ["order_id", "customer_id", "product_id"]
+_READ_BACK = ", ".join(
+    [f"CAST({c} AS VARCHAR) AS {c}" for c in _TEXTS]
+    + [f"CAST({c} AS VARCHAR) AS {c}" for c in ("order_date", "ship_date")]
+    + [f"CAST({c} AS DOUBLE) AS {c}" for c in ("sales", "discount", "profit")]
+    + [c for c in COLUMNS
+       if c not in [*_TEXTS, "order_date", "ship_date", "sales", "discount", "profit"]]
+    + ["region AS country", "'Zoë’s €, \"' || state || '\"' AS city",
+       "lpad(CAST(customer_id % 100000 AS VARCHAR), 5, '0') AS postal_code"]
+)
+
+
+@query("csv_round_trip", f"{S.WITH_T} SELECT {_READ_BACK} FROM t")
+def _(spark, path):
+    """All transactions as raw Windows-1252 files and back through the raw reader."""
+    folder = sinks.write_raw_csv(_all_columns(spark, path), shared_path(spark, "raw"))
+    return cleaning.standardize_types(scan_raw_csv(spark, folder))
+
+
+@query(
+    "csv_quarantine",
+    f"""{S.WITH_T}, d AS (SELECT row_id, order_id, order_id % 60 AS defect FROM t)
+SELECT row_id, CASE defect WHEN 0 THEN 'sales' WHEN 10 THEN 'order_date,profit'
+                           WHEN 20 THEN 'quantity' ELSE 'record' END AS faults,
+       CASE WHEN defect = 30 THEN row_id || ',' || order_id
+            WHEN defect = 40 THEN row_id || repeat(',x', 25) END AS corrupt_record
+FROM d WHERE defect IN (0, 10, 20, 30, 40)""",
+)
+def _(spark, path):
+    """Raw lines with defects in known places; those that the reader sets apart."""
+    full = _all_columns(spark, path)
+    defect = F.col("order_id") % 60
+    spoiled = {
+        "sales": (0, "NaN"), "order_date": (10, "13/45/1999"), "profit": (10, "n/a"),
+        "quantity": (20, "2.5"),
+    }
+    fields = []
+    for name in map(canonical_name, RAW_HEADERS):
+        value = F.col(name).cast("string")
+        if name in spoiled:
+            at, written = spoiled[name]
+            value = F.when(defect == at, F.lit(written)).otherwise(value)
+        fields.append(value.alias(name))
+    row = F.col("row_id").cast("string")
+    line = (
+        F.when(defect == 30, F.concat_ws(",", row, F.col("order_id").cast("string")))
+        .when(defect == 40, F.concat(row, F.repeat(F.lit(",x"), 25)))
+        .otherwise(F.to_csv(F.struct(*fields), {"quote": '"', "escape": '"'}))
+    )
+    folder = shared_path(spark, "lines")
+    full.select(line.alias("value")).write.text(folder)
+    raw = scan_raw_csv(spark, folder, "utf-8", typed=False, header=False, provenance=True)
+    _, apart = cleaning.split_readable(raw)
+    return apart.select(
+        F.col("row_id").cast("bigint").alias("row_id"),
+        F.array_join("faults", ",").alias("faults"), "corrupt_record",
+    )
+
+
 @query("file_digests")
 def _(spark, path):
     return file_fingerprints(spark, f"{path}/lineitem.parquet")

@@ -86,6 +86,9 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+#: Where a raw row comes from; ``corrupt_record`` is a line that does not fit the header.
+PROVENANCE = ["corrupt_record", "file_path", "block_start"]
+
 #: The cleaned, typed transactions table.
 TRANSACTION_SCHEMA = T.StructType(
     [

@@ -20,21 +20,30 @@ def scan_raw_csv(
     mode: str = "PERMISSIVE",
     typed: bool = True,
     multi_line: bool = False,
+    header: bool = True,
+    provenance: bool = False,
 ) -> DataFrame:
     """Every row of a raw transaction CSV, under canonical names.
 
     A missing path raises on call.  ``mode='FAILFAST'`` makes an undecodable
     record an error.  ``typed=False`` leaves every column as written.
     ``multi_line`` reads quoted line breaks as part of a value; a file is then read
-    by one task.
+    by one task.  ``provenance`` adds ``corrupt_record``, the whole line where it has
+    too few or too many fields, ``file_path`` and ``block_start``, the offset of the part
+    of the file that holds the line.
     """
     windows = encoding.lower() in ("windows-1252", "cp1252")
     schema = RAW_SCHEMA
     if not typed:
         schema = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA.fields])
+    if provenance:
+        schema = T.StructType([*schema.fields, T.StructField("corrupt_record", T.StringType())])
     raw = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("columnNameOfCorruptRecord", "corrupt_record")
+        # A parser that skips columns would not see that a line has too few.
+        .option("columnPruning", not provenance)
+        .option("header", header)
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
@@ -43,9 +52,15 @@ def scan_raw_csv(
         .option("mode", mode)
         .csv(path)
     )
-    out = raw.toDF(*[canonical_name(c) for c in raw.columns])
+    origin = []
+    if provenance:
+        origin = [
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+        ]
+    out = raw.select(*[F.col(f"`{c}`").alias(canonical_name(c)) for c in raw.columns], *origin)
     if windows:
-        out = out.withColumns({c: _from_windows(F.col(c)) for c in text_columns(out)})
+        out = out.withColumns({c: from_windows(F.col(c)) for c in text_columns(out) if c != "file_path"})
     if not (parse_dates and typed):
         return out
     return out.withColumns(
@@ -53,16 +68,18 @@ def scan_raw_csv(
     )
 
 
-def _from_windows(text: Column) -> Column:
+def from_windows(text: Column, back: bool = False) -> Column:
     """Text read byte by byte as ISO-8859-1, as Windows-1252 means it.
 
     The two differ in the bytes 0x80-0x9F only, of which five have no meaning and stay.
+    ``back`` prepares text for being written byte by byte.
     """
     both = [
         (chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)
     ]
     both = [(a, b) for a, b in both if b]
-    return F.translate(text, "".join(a for a, _ in both), "".join(b for _, b in both))
+    read, meant = "".join(a for a, _ in both), "".join(b for _, b in both)
+    return F.translate(text, meant, read) if back else F.translate(text, read, meant)
 
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weektide.schema import RAW_HEADERS, canonical_name, text_columns
+from weektide.sources.files import from_windows
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
@@ -20,6 +23,27 @@ def write_table(
     return path
 
 
+def write_raw_csv(df: DataFrame, path: str, encoding: str = "windows-1252") -> str:
+    """Transactions as raw files with their header, dates month first, absent columns empty.
+
+    Signs that the encoding lacks become ``?``.
+    """
+    windows = encoding.lower() in ("windows-1252", "cp1252")
+    texts = text_columns(df)
+
+    def written(name: str):
+        if name not in df.columns:
+            return F.lit(None).cast("string")
+        if name in ("order_date", "ship_date"):
+            return F.date_format(name, "M/d/yyyy")
+        return from_windows(F.col(name), back=True) if windows and name in texts else F.col(name)
+
+    out = df.select(*[written(canonical_name(h)).alias(h) for h in RAW_HEADERS])
+    options = {"header": True, "quote": '"', "escape": '"', "encoding": "iso-8859-1" if windows else encoding}
+    out.write.mode("overwrite").options(**options).csv(path)
+    return path
+
+
 def write_cleaned(df: DataFrame, path: str, date_col: str = "order_date") -> str:
     """Cleaned transactions as Parquet, one folder per order year.
 
