@@ -6,6 +6,7 @@ from weektide.plans import (  # noqa: F401  (importing registers)
     catalog_models,
     catalog_quality,
     catalog_series,
+    catalog_storage,
 )
 from weektide.plans.registry import ORACLES, QUERIES
 

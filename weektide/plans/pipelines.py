@@ -5,6 +5,8 @@ Each stage reads and writes tables, so a stage can be repeated on its own.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from weektide.schema import DOMAINS
 from weektide.session import tune
 from weektide.sources import files, sinks
 from weektide.sources.durable import durable, stored
+from weektide.sources.publish import read_published
 
 
 def run_cleaning(
@@ -22,13 +25,15 @@ def run_cleaning(
     out_path: str,
     domains: dict[str, list[str]] | None = DOMAINS,
     strict: bool = True,
+    versioned: bool = False,
 ) -> DataFrame:
     """Raw CSV to cleaned Parquet; ``strict`` raises on broken rules.
 
     The file is parsed once: rows and unreadable values are counted while the cleaned
     table is written to the shared folder.  The rules are checked there, and only a
-    table that keeps them replaces what lies under ``out_path``.  Returns the cleaning
-    summary.
+    table that keeps them replaces what lies under ``out_path``: in place, or with
+    ``versioned`` as the next version, which readers see whole and which writes changed
+    years only.  Returns the cleaning summary.
     """
     raw = files.scan_raw_csv(tune(spark), raw_path, typed=False)
     seen = Observation("raw")
@@ -52,15 +57,22 @@ def run_cleaning(
                 )
             )
         quality.enforce(rules)
-    sinks.write_cleaned(cleaned, out_path)
+    write = sinks.publish_cleaned if versioned else sinks.write_cleaned
+    write(cleaned, out_path)
     return cleaning.stored_cleaning_summary(raw, seen.get["rows"], cleaned)
 
 
 def run_features(
-    spark: SparkSession, cleaned_path: str, out_path: str, keys: list[str] | None = None
+    spark: SparkSession,
+    cleaned_path: str,
+    out_path: str,
+    keys: list[str] | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
-    """Cleaned table to feature table; returns its leakage audit."""
-    table = build_features(tune(spark).read.parquet(cleaned_path), keys)
+    """Cleaned table (``versioned``: its current version) to feature table; returns its
+    leakage audit."""
+    read = partial(read_published, tune(spark)) if versioned else tune(spark).read.parquet
+    table = build_features(read(cleaned_path), keys)
     sinks.write_table(table, out_path)
     return leakage.audit(files.load_features(spark, out_path), keys)
 

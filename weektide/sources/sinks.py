@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weektide.schema import RAW_HEADERS, canonical_name, text_columns
 from weektide.sources.files import from_windows
+from weektide.sources.publish import publish
 
 
 def write_table(
@@ -56,6 +57,12 @@ def write_cleaned(df: DataFrame, path: str, date_col: str = "order_date") -> str
     )
 
 
+def publish_cleaned(df: DataFrame, root: str, date_col: str = "order_date") -> int:
+    """Cleaned transactions as the next version under ``root``; only years that changed are
+    written, and readers see the version before until all are."""
+    return publish(df.withColumn("order_year", F.year(date_col)), root, "order_year")
+
+
 def write_features(df: DataFrame, path: str, keys: list[str] | None = None) -> str:
     """A feature table; ``keys`` become folders, so name low-cardinality keys only."""
     if keys:
