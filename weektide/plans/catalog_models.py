@@ -141,12 +141,26 @@ def _(spark, path):
     return L.backtest_local(_train(_features(spark, path, keys)), keys)
 
 
+def _described(table, features, predicted):
+    """Metadata of the ridge on ``table`` with its measured holdout, verdicts and backtest."""
+    named = F.lit("Ridge Regression").alias("model")
+    holdout = E.forecast_metrics(predicted).select(named, *E.METRICS)
+    tested = E.baseline_metrics(features, TEST_YEAR).unionByName(holdout)
+    verdicts = E.comparison_table(tested.withColumnRenamed("mae", "test_mae"))
+    measured = holdout.join(
+        verdicts.select("model", "beats_naive", "beats_seasonal_naive"), "model"
+    ).drop("model")
+    folds = M.cross_validate(_train(table), 5, {"Ridge Regression": M.ridge()})
+    summary = E.backtest_summary(folds).drop("model")
+    out = FC.model_metadata(table, 10.0, measured, summary)
+    return out.select("*", "holdout.*", "backtest.*").drop("holdout", "backtest", "features", "created_at")
+
+
 @query("model_metadata")
 def _(spark, path):
     features = _features(spark, path)
-    holdout = _holdout("Ridge Regression")(spark, path)
-    out = FC.model_metadata(features, 10.0, holdout.select(*E.METRICS)).drop("created_at")
-    return out.select("*", "holdout.*").drop("holdout", "features")
+    _, _, predicted = M.fit_holdout(features, TEST_YEAR, {"Ridge Regression": M.ridge()})
+    return _described(features, features, predicted)
 
 
 # Models that SQL can say: a recursive mean, and a ridge on two predictors.
@@ -176,16 +190,16 @@ def _(spark, path):
     return FC.recursive_forecast(features, mean, 16, keys)
 
 
-def _ridge_sql(keys: list[str]) -> str:
-    """CTEs ``t`` … ``m``: the closed form of a standardised ridge with penalty 10."""
+def _closed_form(source: str, keys: list[str]) -> str:
+    """CTEs ``g`` … ``m``: the closed form of a standardised ridge with penalty 10."""
     head = "".join(f"{k}, " for k in keys)
     group = "GROUP BY ALL" if keys else ""
     x, z = _TWO
-    return S.split(TEST_YEAR, keys) + f""", g AS (
+    return f"""g AS (
   SELECT {head}count(*) AS n, avg({x}) AS m1, avg({z}) AS m2, avg(sales) AS m,
          stddev_pop({x}) AS s1, stddev_pop({z}) AS s2, covar_pop({x}, {z}) AS c12,
          covar_pop({x}, sales) AS c1, covar_pop({z}, sales) AS c2
-  FROM s WHERE role = 'train' {group}
+  FROM {source} WHERE role = 'train' {group}
 ), k AS (
   SELECT *, n + 10.0 AS a, n * c12 / (s1 * s2) AS d, n * c1 / s1 AS y1, n * c2 / s2 AS y2 FROM g
 ), c AS (
@@ -195,6 +209,11 @@ def _ridge_sql(keys: list[str]) -> str:
 """
 
 
+def _ridge_sql(keys: list[str]) -> str:
+    """CTEs ``t`` … ``m``: the ridge of each series on the years before the test year."""
+    return f"{S.split(TEST_YEAR, keys)}, {_closed_form('s', keys)}"
+
+
 def _two(spark, path, keys=()):
     return _features(spark, path, keys).select(*keys, "date", "sales", *_TWO)
 
@@ -266,3 +285,41 @@ def _(spark, path):
 @query("ridge_two_metrics", _TWO_PREDICTED + f"SELECT {S.metrics()} FROM x")
 def _(spark, path):
     return E.forecast_metrics(_two_predicted(spark, path))
+
+
+# Fold 0 stands for the test year: the folds and the holdout are fitted in one go.
+@query(
+    "model_metadata_two",
+    f"""{S.folds(TEST_YEAR)}, every_fold AS (
+  SELECT fold, role, sales, {', '.join(_TWO)} FROM cv
+  UNION ALL
+  SELECT 0, CASE role WHEN 'train' THEN role ELSE 'val' END, sales, {', '.join(_TWO)} FROM s
+), {_closed_form('every_fold', ['fold'])}, predicted AS (
+  SELECT fold, sales, w0 + w1 * {_TWO[0]} + w2 * {_TWO[1]} AS prediction
+  FROM every_fold JOIN m USING (fold) WHERE role = 'val'
+), errors AS (SELECT fold, {S.metrics()} FROM predicted GROUP BY fold
+), tested AS (SELECT mae, rmse, mape, wape FROM errors WHERE fold = 0
+), folded AS (
+  SELECT {S.rnd('avg(mae)')} AS mean_mae, {S.rnd('quantile_cont(mae, 0.5)')} AS median_mae,
+         {S.rnd('stddev_samp(mae)')} AS std_mae, {S.rnd('avg(rmse)')} AS mean_rmse,
+         {S.rnd('avg(mape)')} AS mean_mape, {S.rnd('avg(wape)')} AS mean_wape
+  FROM errors WHERE fold > 0
+), naive AS (
+  SELECT {S.rnd('avg(abs(sales - sales_lag_1))')} AS naive_mae,
+         {S.rnd('avg(abs(sales - sales_lag_52))')} AS seasonal_mae FROM s WHERE role = 'test'
+), spans AS (SELECT CAST(min(date) AS VARCHAR) AS train_start, CAST(max(date) AS VARCHAR) AS train_end,
+                count(*) AS training_rows FROM f)
+SELECT spans.*, 'Ridge Regression (standardised, L2)' AS model_name, 'sales' AS target,
+       'W-SUN' AS frequency, CAST(1 AS BIGINT) AS forecast_horizon_weeks,
+       CAST(10.0 AS DOUBLE) AS alpha, CAST(2 AS BIGINT) AS feature_count, tested.*,
+       CASE WHEN mae < naive_mae THEN 'YES' ELSE 'NO' END AS beats_naive,
+       CASE WHEN mae < seasonal_mae THEN 'YES' ELSE 'NO' END AS beats_seasonal_naive, folded.*
+FROM spans, tested, naive, folded""",
+)
+def _(spark, path):
+    features = _features(spark, path)
+    two = features.select("date", "sales", *_TWO)
+    split = E.chronological_split(two, TEST_YEAR)
+    fitted = M.fit(split.filter("role = 'train'"), M.ridge(), _TWO)
+    predicted = fitted.transform(split.filter("role = 'test'"))
+    return _described(two, features, predicted.select("date", "sales", "prediction"))
