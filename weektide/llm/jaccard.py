@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from weektide.llm.components import components
 from weektide.llm.grams import mix, salt, shingle_sets, slices
-from weektide.llm.store import sent_if_few, shuffle_width, stored
+from weektide.llm.store import sent_if_few, stored, width_for
 
 #: Words of a shingle.
 WIDTH = 5
@@ -51,6 +51,8 @@ CELLS, SPARE = 2, 1
 BAND = 1.6
 #: Buckets of signatures at least; every bucket repeats the keys of most documents.
 LEAST_BUCKETS = 64
+#: Documents whose signatures one task gets, about (2 KB each).
+DOCS_A_TASK = 10_000
 #: Members of a group that one task takes; larger groups are cut.
 MOST = 20_000
 #: Signatures and documents a task holds before it hands them on.
@@ -191,19 +193,21 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return high | low, keys[place]
 
 
-def sharing(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def sharing(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """``run, key``: sets that share a signature have a run in common.
 
-    Signatures travel packed by bucket, a bucket to a task.  A task sends a set's
+    Signatures travel packed by bucket to ``width`` tasks.  A task sends a set's
     signatures once, however many copies it holds; runs with the same members are one.
     """
 
+    buckets = max(LEAST_BUCKETS, width)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sigs, owners, held, known = [], [], [], 0, {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             sig, local = np.concatenate(sigs), np.concatenate(owners)
-            bucket = ((sig & _U(0xFFFF)) % _U(buckets)).astype(np.int64)
+            bucket = ((sig & _U(0xFFFF_FFFF)) % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             sig, local, bucket = sig[order], local[order], bucket[order]
             every, first = np.array(keys, _U), np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -257,7 +261,7 @@ def sharing(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFr
 
     sent = _texts(docs, id_col, text_col).mapInArrow(send, "bucket int, blob binary")
     return (
-        sent.repartition(shuffle_width(docs.sparkSession), "bucket")
+        sent.repartition(width, "bucket")
         .groupBy("bucket").applyInArrow(meet, "run bigint, key bigint").distinct()
     )
 
@@ -445,8 +449,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"),
     )
-    buckets = max(LEAST_BUCKETS, shuffle_width(spark))
-    runs = stored(sharing(docs, id_col, text_col, buckets), "runs")
+    width = width_for(spark, described.count(), DOCS_A_TASK)
+    runs = stored(sharing(docs, id_col, text_col, width), "runs")
     members = stored(runs.join(distinct.drop("copies"), "key"), "members")
     large = not runs.groupBy("run").count().where(F.col("count") > MOST).isEmpty()
     members = members.select("run", "key", "doc_id", "n_shingles", "parity")
@@ -455,7 +459,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         star = stored(_star(members, MOST), "star")
         settled = star.where("may").select("run", F.col("b").alias("key"))
         tries = _blocks(members.join(settled, ["run", "key"], "left_anti"), MOST)
-    tries = tries.select("run", "key", "n_shingles", "parity").groupBy("run")
+    tries = tries.select("run", "key", "n_shingles", "parity").repartition(width, "run").groupBy("run")
     tries = tries.applyInArrow(_tries, _TRIES)
     if large:
         tries = tries.unionByName(star.where("may").select("a", "b", F.lit(0).cast("bigint").alias("differ")))
@@ -475,8 +479,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "run", "key", "n_shingles", "parity", F.coalesce("component", "key").alias("component")
     )
     more = stored(
-        (_blocks(parts, MOST) if large else parts).groupBy("run").applyInArrow(_leftover, _PAIRS).distinct()
-        .join(tries, ["a", "b"], "left_anti"), "more",
+        (_blocks(parts, MOST) if large else parts).repartition(width, "run").groupBy("run")
+        .applyInArrow(_leftover, _PAIRS).distinct().join(tries, ["a", "b"], "left_anti"), "more",
     )
     found = stored(_verified(more, sets), "links")
     if not found.isEmpty():

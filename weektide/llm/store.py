@@ -51,3 +51,9 @@ def sent_if_few(ids: DataFrame, name: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """Shuffle partitions of the session: what one task gets shrinks as it grows."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def width_for(spark: SparkSession, amount: int, each: int) -> int:
+    """Shuffle partitions of which each gets about ``each`` of ``amount``, and no fewer than
+    the session's: the number follows the input, not only the setting."""
+    return max(shuffle_width(spark), -(-amount // each))
