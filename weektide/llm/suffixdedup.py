@@ -52,8 +52,8 @@ WINDOWS = 128
 HOT = 2048
 #: Bytes of a group of segments, about.
 GROUP = 1 << 19
-#: Bytes of text whose segments one task gets, about.
-TASK = 1 << 25
+#: Documents whose segments one task gets, about.
+DOCS_A_TASK = 10_000
 _SLICE = 1 << 21
 _HELD = 600_000
 _FAR = (1 << 28) - 1
@@ -126,7 +126,7 @@ class _Parcel:
         same = (docs[owner] == docs[owner[head]]).all(1) & (start == start[head])
         copy &= ~same
         flags = several.astype(np.uint8) | copy.astype(np.uint8) << 1
-        bucket = np.where(copy, owner, (key & _U(0xFFFF_FFFF)).astype(np.int64)) % self._buckets
+        bucket = np.where(copy, owner, (key & _U(0xFFFF)).astype(np.int64)) % self._buckets
         order = np.lexsort((start, owner, bucket))
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         for some in np.split(order, cuts[1:]):
@@ -362,8 +362,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """What of every document is left; see the module's text."""
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    width = width_for(spark, size, TASK)
+    width = width_for(spark, texts.count(), DOCS_A_TASK)
     buckets = 2 * width
 
     def settled(parcels: DataFrame, name: str) -> DataFrame:
