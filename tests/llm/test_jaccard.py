@@ -111,3 +111,10 @@ def test_long_chain_of_pairs(spark):
     pairs = [(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1000), (5, 5)]
     got = dict(components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect())
     assert got == {**dict.fromkeys(range(301), 0), 1000: 1000, 1001: 1000}
+
+
+def test_more_tasks_than_the_setting(documents, rows, monkeypatch):
+    """How many tasks the signatures are dealt to does not show in the result."""
+    monkeypatch.setattr(jaccard, "DOCS_A_TASK", 1)
+    monkeypatch.setattr(jaccard, "LEAST_BUCKETS", 1)
+    assert run(documents) == brute(rows)

@@ -116,3 +116,10 @@ def test_suffix_order_against_sorting():
             while shared < min(len(got[k]), len(got[k - 1]), 10) and got[k][shared] == got[k - 1][shared]:
                 shared += 1
             assert common[k] == shared
+
+
+def test_more_tasks_than_the_setting(spark, monkeypatch):
+    """How many tasks the segments are dealt to does not show in the result."""
+    monkeypatch.setattr(sd, "DOCS_A_TASK", 2)
+    rows = shared_rows()
+    assert run(as_documents(spark, rows)) == brute(rows)
