@@ -446,13 +446,13 @@ def _all_columns(spark, path):
     })
 
 
-_TEXTS = ["order_id", "customer_id", "product_id"]
+_AS_TEXT = ["order_id", "customer_id", "product_id"]
 _READ_BACK = ", ".join(
-    [f"CAST({c} AS VARCHAR) AS {c}" for c in _TEXTS]
+    [f"CAST({c} AS VARCHAR) AS {c}" for c in _AS_TEXT]
     + [f"CAST({c} AS VARCHAR) AS {c}" for c in ("order_date", "ship_date")]
     + [f"CAST({c} AS DOUBLE) AS {c}" for c in ("sales", "discount", "profit")]
     + [c for c in COLUMNS
-       if c not in [*_TEXTS, "order_date", "ship_date", "sales", "discount", "profit"]]
+       if c not in [*_AS_TEXT, "order_date", "ship_date", "sales", "discount", "profit"]]
     + ["region AS country", "'Zoë’s €, \"' || state || '\"' AS city",
        "lpad(CAST(customer_id % 100000 AS VARCHAR), 5, '0') AS postal_code"]
 )
