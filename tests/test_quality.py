@@ -28,3 +28,11 @@ def test_white_space_is_sought_in_names(spark):
     found = QUERIES["dq_whitespace"](spark, SMALL).collect()
     assert [r["column"] for r in found] == ["product_name"]
     assert found[0]["rows"] > 0
+
+
+def test_spellings_are_compared_in_all_text_columns(spark):
+    found = QUERIES["dq_case"](spark, SMALL).collect()
+    assert sorted(r["column"] for r in found) == [
+        "category", "customer_name", "product_name", "region", "segment", "ship_mode", "state",
+        "sub_category",
+    ]
