@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import as_documents
@@ -123,3 +124,69 @@ def test_more_tasks_than_the_setting(spark, monkeypatch):
     monkeypatch.setattr(sd, "DOCS_A_TASK", 2)
     rows = shared_rows()
     assert run(as_documents(spark, rows)) == brute(rows)
+
+
+def settled(rows):
+    """What becomes of the segments of all rows, and how many segments there are."""
+    raw, at = sd.utf8(pa.array([text for _, text, _ in rows]))
+    begin, *rest = sd.segments(raw, at)
+    owner = np.searchsorted(at, begin, "right") - 1
+    docs = np.array([[doc, 0] for doc, *_ in rows])
+    parcel = sd._Parcel(1)
+    parcel.add(docs, owner, begin - at[owner], *rest)
+    return sd._settle(pa.Table.from_batches(list(parcel.flush()))), len(begin)
+
+
+def test_short_passages_are_not_fetched():
+    """Segments that share their key's gram but no window stay where they are."""
+    rng = random.Random(2)
+    signs = "".join(map(chr, range(33, 127)))
+
+    def text(n):
+        return "".join(rng.choices(signs, k=n))
+
+    short, long = text(60), text(sd.LENGTH)
+    apart, _ = settled([(k, text(200) + short + text(200), None) for k in range(300)])
+    assert len(apart) < 30  # hashes of 16 bits
+    shared, _ = settled([(k, text(200) + long + text(200), None) for k in range(300)])
+    assert len(shared) >= 300
+
+
+def test_windows_at_every_place_of_the_gram(spark):
+    """Passages of one window, around which nothing is equal."""
+    rng = random.Random(5)
+    signs = "".join(map(chr, range(33, 127)))
+
+    def text(n):
+        return "".join(rng.choices(signs, k=n))
+
+    passages = [text(sd.LENGTH) for _ in range(400)]
+    rows = [
+        (doc, text(20) + "".join(p + text(rng.randint(1, 60)) for p in rng.sample(passages, 200)), None)
+        for doc in range(4)
+    ]
+    want = brute(rows)
+    assert sum(r[2] for r in want) >= 200 * sd.LENGTH
+    assert run(as_documents(spark, rows)) == want
+
+
+def test_a_gram_in_several_places(spark):
+    """Windows that hold the second of two equal grams in one text, and the only one in another."""
+    rng = random.Random(6)
+    signs = "".join(map(chr, range(33, 127)))
+
+    def text(n):
+        return "".join(rng.choices(signs, k=n))
+
+    def low(gram):
+        return sd.rolling(np.frombuffer(gram.encode(), np.uint8))(np.array([0]), sd.GRAM)[0]
+
+    rows = []
+    for k in range(10):
+        gram = min((text(sd.GRAM) for _ in range(2000)), key=low)
+        shared = gram + text(10) + gram + text(60)
+        rows.append((2 * k, text(150) + shared + text(150), None))
+        rows.append((2 * k + 1, text(150) + "\n" + shared[1 : 1 + sd.LENGTH] + text(150), None))
+    want = brute(rows)
+    assert sum(r[2] == sd.LENGTH for r in want) == 10
+    assert run(as_documents(spark, rows)) == want

@@ -6,9 +6,12 @@ in a document with a smaller id, or before in the same one.
 *Dealing out.*  A window is a string of that length.  Its key is the least hash among
 its grams of ``GRAM`` bytes, so equal windows have equal keys wherever they stand.
 Neighbouring windows with one key form a segment.  Segments travel as hashes first: of
-segments with the same content the earliest stays and the others go as a whole.  Only
-segments whose key another segment has too, or that contain their key's gram twice, can
-hold anything else; their bytes are fetched and dealt into groups of bounded size.
+segments with the same content the earliest stays and the others go as a whole.  A window
+that two others have in common holds the key's gram at the same place in both, and around
+it one of the pieces of ``LENGTH - STEP`` bytes that begin every ``STEP`` bytes before the
+gram.  Only segments with a piece that another one of their key has too, or whose key
+has its gram in several places of a segment, can hold anything else; their bytes are fetched
+and dealt into groups of bounded size.
 
 *Within a group* the Burrows-Wheeler transform and common prefixes of all segments
 are built by inserting one symbol of each per round (``suffixes.suffix_order``); symbols are
@@ -17,8 +20,8 @@ Neighbours in suffix order that share ``LENGTH`` bytes are equal windows; all bu
 earliest go.  The sequential files of the published method are Spark's shuffle files: a
 group is read from them in one go and is small enough to stay in memory.
 
-*Hot keys.*  A key that very many different segments share (text around a common
-passage) is cut into its single windows, segments of one window included, which are
+*Hot keys.*  A key under which very many different segments may share a window (text
+around a common passage) is cut into its single windows, segments of one window included, which are
 dealt out by their own hash; equal ones then are equal segments, of which the earliest
 stays.
 
@@ -48,7 +51,11 @@ LENGTH = 100
 GRAM = 32
 #: Windows of a segment at most.
 WINDOWS = 128
-#: Different segments under one key from which on it is cut into windows.
+#: Bytes from one piece around a key's gram to the next.
+STEP = 17
+#: How far before the gram the pieces begin: every window holds one of them.
+PIECES = range(0, LENGTH - GRAM, STEP)
+#: Different segments under one key that may share a window, from which on it is cut into windows.
 HOT = 2048
 #: Bytes of a group of segments, about.
 GROUP = 1 << 19
@@ -61,11 +68,16 @@ _U = np.uint64
 
 
 def segments(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Begin, windows, key, content hash and "may repeat within" of every segment."""
+    """Begin, windows, key, content hash, "may repeat within" and hashes of the pieces (0
+    for one that is not within) of every segment."""
     n = len(raw) - LENGTH + 1
     empty = np.zeros(0, np.int64)
+    none = (
+        empty, empty, empty.astype(_U), empty.astype(_U), empty.astype(bool),
+        np.zeros((0, len(PIECES)), np.uint16),
+    )
     if n <= 0:
-        return empty, empty, empty.astype(_U), empty.astype(_U), empty.astype(bool)
+        return none
     hashes = rolling(raw)
     grams = hashes(np.arange(len(raw) - GRAM + 1), GRAM)
     least = (grams & ~_U(_FAR)) | np.arange(len(grams)).astype(_U)
@@ -79,7 +91,7 @@ def segments(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     ends = np.repeat(at[1:], np.diff(at))
     window = np.flatnonzero(np.arange(n) + LENGTH <= ends[:n])
     if not len(window):
-        return empty, empty, empty.astype(_U), empty.astype(_U), empty.astype(bool)
+        return none
     key = grams[place[window]]
     new = np.ones(len(window), bool)
     new[1:] = (np.diff(window) > 1) | (key[1:] != key[:-1])
@@ -89,35 +101,43 @@ def segments(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     last = np.append(first[1:], len(window)) - 1
     begin, count = window[first], last - first + 1
     content = hashes(begin, count + LENGTH - 1)
-    several = place[window[first]] != place[window[last]]
-    return begin, count, mix(key[first]), content, several
+    gram = place[begin]
+    several = gram != place[window[last]]
+    pieces = np.zeros((len(begin), len(PIECES)), np.uint16)
+    for k, before in enumerate(PIECES):
+        at_piece = gram - before
+        fits = np.flatnonzero(
+            (at_piece >= begin) & (at_piece + LENGTH - STEP < begin + count + LENGTH)
+        )
+        pieces[fits, k] = hashes(at_piece[fits], LENGTH - STEP) % _U(0xFFFF) + _U(1)
+    return begin, count, mix(key[first]), content, several, pieces
 
 
 class _Parcel:
     """Segments on their way, packed by bucket."""
 
-    _KINDS = ("<u4", "<u2", "<u4", "<u2", "<u4", "<u4", "<u2", "u1")
+    _KINDS = ("<u4", "<u2", "<u4", "<u2", "<u4", "<u4", "<u2", "u1", *["<u2"] * len(PIECES))
 
     def __init__(self, buckets: int):
         self._buckets, self._parts, self._docs, self.held = buckets, [], [], 0
 
-    def add(self, docs: np.ndarray, owner, start, count, key, content, several) -> None:
+    def add(self, docs: np.ndarray, owner, start, count, key, content, several, pieces) -> None:
         """Segments of the documents ``docs`` (pairs of id and text hash)."""
         base = sum(map(len, self._docs))
         self._docs.append(docs)
-        self._parts.append((owner + base, start, count, key, content, several))
+        self._parts.append((owner + base, start, count, key, content, several, pieces))
         self.held += len(owner)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.held:
             return
         docs = np.concatenate(self._docs)
-        owner, start, count, key, content, several = (
-            np.concatenate([p[k] for p in self._parts]) for k in range(6)
+        owner, start, count, key, content, several, pieces = (
+            np.concatenate([p[k] for p in self._parts]) for k in range(7)
         )
         order = np.lexsort((start, docs[owner, 1], docs[owner, 0], content, key))
-        owner, start, count, key, content, several = (
-            x[order] for x in (owner, start, count, key, content, several)
+        owner, start, count, key, content, several, pieces = (
+            x[order] for x in (owner, start, count, key, content, several, pieces)
         )
         # Later copies within the parcel are settled; they only pass through.
         copy = np.zeros(len(key), bool)
@@ -134,7 +154,7 @@ class _Parcel:
             columns = (
                 key[some] >> _U(32), (key[some] >> _U(16)) & _U(0xFFFF),
                 content[some] >> _U(32), (content[some] >> _U(16)) & _U(0xFFFF),
-                place, start[some], count[some], flags[some],
+                place, start[some], count[some], flags[some], *pieces[some].T,
             )
             blob = b"".join(
                 [np.array([len(used), len(some)], "<u4").tobytes(), docs[used].tobytes()]
@@ -148,7 +168,7 @@ class _Parcel:
 
     @classmethod
     def open(cls, blob: bytes) -> tuple[np.ndarray, ...]:
-        """Documents by row, start, windows, key, content and flags."""
+        """Documents by row, start, windows, key, content, flags and pieces."""
         n_docs, n = (int(x) for x in np.frombuffer(blob, "<u4", 2))
         docs = np.frombuffer(blob, np.int64, 2 * n_docs, 8).reshape(-1, 2)
         pos, found = 8 + 16 * n_docs, []
@@ -157,7 +177,8 @@ class _Parcel:
             pos += n * np.dtype(kind).itemsize
         key = found[0].astype(_U) << _U(32) | found[1].astype(_U) << _U(16)
         content = found[2].astype(_U) << _U(32) | found[3].astype(_U) << _U(16)
-        return docs[found[4]], found[5].astype(np.int64), found[6].astype(np.int64), key, content, found[7]
+        start, count = found[5].astype(np.int64), found[6].astype(np.int64)
+        return docs[found[4]], start, count, key, content, found[7], np.stack(found[8:], 1)
 
 
 _SETTLED = "doc bigint, tag bigint, start bigint, count bigint, key bigint, ask int"
@@ -165,33 +186,49 @@ _SETTLED = "doc bigint, tag bigint, start bigint, count bigint, key bigint, ask
 _GOES, _ASKED, _HOT = 0, 1, 2
 
 
+def _twins(place: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Which segments have a piece that another one of their key, given by number, has too."""
+    found = np.zeros(len(place), bool)
+    for piece in pieces.T:
+        rows = np.flatnonzero(piece)
+        code = place[rows] << 16 | piece[rows]
+        order = np.argsort(code)
+        equal = np.diff(code[order]) == 0
+        found[rows[order[1:][equal]]] = found[rows[order[:-1][equal]]] = True
+    return found
+
+
 def _settle(table: pa.Table) -> pa.Table:
     """Which segments go, and which are asked for, among all with the bucket's keys."""
     parts = [_Parcel.open(x.as_py()) for x in table.column("blob")]
-    docs, start, count, key, content, flags = (
-        np.concatenate([p[k] for p in parts]) for k in range(6)
+    docs, start, count, key, content, flags, pieces = (
+        np.concatenate([p[k] for p in parts]) for k in range(7)
     )
     passed = (flags & 2) > 0
     gone = [(docs[passed], start[passed], count[passed], key[passed])]
-    docs, start, count, key, content, several = (
-        x[~passed] for x in (docs, start, count, key, content, (flags & 1) > 0)
+    docs, start, count, key, content, several, pieces = (
+        x[~passed] for x in (docs, start, count, key, content, (flags & 1) > 0, pieces)
     )
     order = np.lexsort((start, docs[:, 1], docs[:, 0], content, key))
-    docs, start, count, key, content, several = (
-        x[order] for x in (docs, start, count, key, content, several)
+    docs, start, count, key, content, several, pieces = (
+        x[order] for x in (docs, start, count, key, content, several, pieces)
     )
     copy = np.zeros(len(key), bool)
     copy[1:] = (key[1:] == key[:-1]) & (content[1:] == content[:-1])
     head = np.maximum.accumulate(np.where(copy, 0, np.arange(len(key))))
     same = (docs == docs[head]).all(1) & (start == start[head])
     gone.append(tuple(x[copy & ~same] for x in (docs, start, count, key)))
-    docs, start, count, key, several = (x[~copy] for x in (docs, start, count, key, several))
+    docs, start, count, key, several, pieces = (
+        x[~copy] for x in (docs, start, count, key, several, pieces)
+    )
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    first = np.flatnonzero(new)
-    size = np.repeat(np.diff(first, append=len(key)), np.diff(first, append=len(key)))
-    ask = np.where(size > HOT, _HOT, np.where((size > 1) | several, _ASKED, _GOES))
-    wanted = ask != _GOES
+    number = np.cumsum(new) - 1
+    # The gram in several places of one segment: any of them may be that of another one.
+    wanted = (np.bincount(number, several) > 0)[number]
+    rest = np.flatnonzero(~wanted & (np.bincount(number)[number] > 1))
+    wanted[rest] = _twins(number[rest], pieces[rest])
+    ask = np.where(np.bincount(number, wanted)[number] > HOT, _HOT, _ASKED)
     found = gone + [tuple(x[wanted] for x in (docs, start, count, key))]
     asks = [np.zeros(len(g[1]), np.int32) for g in gone] + [ask[wanted].astype(np.int32)]
     docs, start, count, key = (np.concatenate([f[k] for f in found]) for k in range(4))
@@ -279,9 +316,9 @@ def _deal(texts: DataFrame, buckets: int) -> DataFrame:
             for part in slices(batch, 2, _SLICE):
                 raw, at = utf8(part.column(2))
                 docs = np.stack([part.column(0).to_numpy(), part.column(1).to_numpy()], 1)
-                begin, count, key, content, several = segments(raw, at)
+                begin, count, *marks = segments(raw, at)
                 owner = np.searchsorted(at, begin, "right") - 1
-                parcel.add(docs, owner, begin - at[owner], count, key, content, several)
+                parcel.add(docs, owner, begin - at[owner], count, *marks)
                 if parcel.held > _HELD:
                     yield from parcel.flush()
         yield from parcel.flush()
@@ -313,6 +350,7 @@ def _fetch(texts: DataFrame, asked: DataFrame, groups: int, buckets: int) -> Dat
                             np.array([[doc, tag]]), np.zeros(count, np.int64),
                             begin + np.arange(count), np.ones(count, np.int64),
                             mix(own + salt(1)), other, np.zeros(count, bool),
+                            np.zeros((count, len(PIECES)), np.uint16),
                         )
                     else:
                         group = mix(np.array([ask["key"]], np.int64).view(_U))[0] >> _U(1)
