@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import weektide.plans
+from weektide.operators import quality
 from weektide.plans.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -36,3 +37,12 @@ def test_spellings_are_compared_in_all_text_columns(spark):
         "category", "customer_name", "product_name", "region", "segment", "ship_mode", "state",
         "sub_category",
     ]
+
+
+@pytest.mark.parametrize("rows", [[], [(None, "Rome"), (None, "ROME")]])
+def test_spellings_of_a_column_without_values_are_a_row(spark, rows):
+    df = spark.createDataFrame(rows, "state string, city string")
+    found = quality.case_variants(df, ["state", "city"])
+    assert {tuple(r) for r in found.collect()} == {
+        ("state", 0, 0, True), ("city", 2, 1, False) if rows else ("city", 0, 0, True),
+    }

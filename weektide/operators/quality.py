@@ -255,15 +255,21 @@ def whitespace(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def case_variants(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values of text columns as written and in lower case."""
+    """Distinct values of text columns as written and in lower case.
+
+    Each column gets a row, also one without values: a NULL that counts nothing stands for it.
+    """
+    names = F.explode(F.array(*[F.lit(c) for c in columns]))
+    spine = df.sparkSession.range(1).select(names.alias("column"), F.lit(None).alias("value"))
     values = (
         df.select(*columns).unpivot([], columns, "column", "value")
         .filter(F.col("value").isNotNull()).distinct()
+        .unionByName(spine)
     )
     folded = values.groupBy("column", F.lower("value").alias("folded")).agg(
-        F.count(F.lit(1)).alias("spellings")
+        F.count("value").alias("spellings")
     )
-    distinct, lower = F.sum("spellings"), F.count(F.lit(1))
+    distinct, lower = F.sum("spellings"), F.count("folded")
     return folded.groupBy("column").agg(
         distinct.alias("distinct_values"), lower.alias("distinct_lower"),
         (distinct == lower).alias("passed"),
