@@ -1,3 +1,7 @@
+import gzip
+import hashlib
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -51,6 +55,36 @@ def test_fingerprint_does_not_change_by_reading(spark, raw_file):
     assert before == after and len(before["sha256"]) == 64
 
 
+def test_fingerprints_of_files_beyond_one_value(spark, tmp_path):
+    rng = random.Random(4)
+    noise = rng.randbytes(200_000)
+    contents = {
+        "a.parquet": b"PAR1" + noise, "b c.bin": noise + b"\n\n", "mark.csv": b"\xef\xbb\xbfa,b\r\n" * 900,
+        "mark.txt": b"\xef\xbb\xbf" + noise + b".", "zeros.bin": bytes(50_000), "small.csv": b"a\n",
+        "packed.gz": gzip.compress(noise), "no_suffix": noise * 5, "é%20.é ü": b"\n" * 70_000,
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    least = {
+        "spark.sql.sources.binaryFile.maxLength": "5000", "spark.sql.files.maxPartitionBytes": "30000",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "300",
+    }
+    before = {name: spark.conf.get(name) for name in least}
+    try:
+        for name, value in least.items():
+            spark.conf.set(name, value)
+        rows = files.file_fingerprints(spark, str(tmp_path)).collect()
+        one = files.file_fingerprints(spark, f"{tmp_path}/no_suffix").first()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(rows) == len(contents) and one in rows
+    got = {r["path"].rpartition("/")[2]: (r["size_bytes"], r["sha256"]) for r in rows}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+    whole = files.file_fingerprints(spark, str(tmp_path))
+    assert sorted(whole.collect()) == sorted(rows)
+
+
 def test_every_byte_of_the_windows_encoding(spark, tmp_path):
     path = tmp_path / "odd.csv"
     signs = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))

@@ -2,6 +2,15 @@
 
 from __future__ import annotations
 
+import codecs
+import hashlib
+import re
+from collections.abc import Iterator
+from itertools import pairwise
+from urllib.parse import unquote
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +20,11 @@ from pyspark.sql import types as T
 from weektide.functions.dates import parse_mixed_date, year_month
 from weektide.schema import RAW_SCHEMA, canonical_name, require_columns, text_columns
 
+#: Bytes of a file that a task may hold as one value, and more than once.
+WHOLE = 64 << 20
+#: Of names as Spark gives them, with odd signs as %XX.
+_SUFFIX = r"\.([A-Za-z0-9_-]+)$"
+
 
 def scan_raw_csv(
     spark: SparkSession,
@@ -85,13 +99,97 @@ def from_windows(text: Column, back: bool = False) -> Column:
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """Size and SHA-256 of each file under ``path``.
 
-    A digest needs the whole file in one row; a file beyond what Spark's binary
-    source reads (2 GB) makes the query fail with its path.
+    A digest is one pass over its file by one task.  A file of up to ``WHOLE`` bytes is one
+    row there; of a larger one, the task holds a batch of lines at a time, whatever the
+    bytes mean.  So no file is too large, but 2 GB without a line feed are.
     """
     files = spark.read.format("binaryFile").load(path)
-    return files.select(
+    whole = min(WHOLE, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    out = files.filter(F.col("length") <= whole).select(
         "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
     )
+    suffixes = {re.search(_SUFFIX, name) for name in files.inputFiles()}
+    for suffix in sorted({found[1] if found else "" for found in suffixes}):
+        out = out.unionByName(_large_fingerprints(spark, path, suffix, whole))
+    return out
+
+
+def _large_fingerprints(spark: SparkSession, path: str, suffix: str, whole: int) -> DataFrame:
+    """The same for the files of over ``whole`` bytes whose names end in ``suffix``.
+
+    Hadoop's codec that changes nothing, declared for the suffix, makes a file one split and
+    keeps packed files packed.  It needs a suffix: without one a file may come in many splits,
+    which are put in order by a shuffle.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    if suffix:
+        codec = "io.compress.passthrough.extension"
+        reader = reader.options(**{
+            "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+            # Spark's build of Hadoop renames the key.
+            codec: f".{suffix}", f"org.apache.hadoop.shaded.{codec}": f".{suffix}",
+        })
+    file = F.col("_metadata")
+    lines = reader.text(path).filter(
+        (file["file_size"] > whole) & (F.regexp_extract(file["file_name"], _SUFFIX, 1) == suffix)
+    ).select(
+        file["file_path"].alias("path"), file["file_size"].alias("size"),
+        F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("line"),
+        *([] if suffix else [
+            file["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("at")
+        ]),
+    )
+    if not suffix:
+        lines = lines.repartition("path").sortWithinPartitions("path", "start", "at")
+    return lines.select("path", "size", "line").mapInArrow(
+        _digests, "path string, size_bytes bigint, sha256 string"
+    )
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each file, whose lines lie in order, all with a line feed.
+
+    The size tells whether the last line has one, and whether the reader left out a byte order
+    mark, which is found out last: both digests are kept, but for Parquet files.
+    """
+    current = None
+    for batch in batches:
+        names = batch.column(0).dictionary_encode()
+        codes = names.indices.to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+        lines = batch.column(2).cast(pa.large_binary())
+        for begin, end in pairwise(cuts):
+            if begin == end:
+                continue
+            name = names.dictionary[int(codes[begin])].as_py()
+            if current is None or current[0] != name:
+                if current is not None:
+                    yield _digest(*current)
+                size = batch.column(1)[begin].as_py()
+                heads = [b""] if lines[begin].as_py()[:4] == b"PAR1" else [b"", codecs.BOM_UTF8]
+                current = (name, size, [0], [hashlib.sha256(head) for head in heads])
+            _, _, read, digests = current
+            offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:]
+            part = memoryview(lines.buffers()[2])[offsets[begin]:offsets[end]]
+            for digest in digests:
+                if read[0]:
+                    digest.update(b"\n")
+                digest.update(part[:-1])
+            read[0] += len(part)
+    if current is not None:
+        yield _digest(*current)
+
+
+def _digest(name: str, size: int, read: list[int], digests: list) -> pa.RecordBatch:
+    left = size - read[0]
+    marked = left in (2, 3)
+    if left not in (-1, 0, 2, 3) or marked and len(digests) == 1:
+        raise ValueError(f"{name}: {read[0]} bytes read of {size}")
+    digest = digests[marked]
+    if left in (0, 3):
+        digest.update(b"\n")
+    row = {"path": [unquote(name)], "size_bytes": [size], "sha256": [digest.hexdigest()]}
+    return pa.RecordBatch.from_pydict(row)
 
 
 def with_calendar(df: DataFrame, date_col: str = "order_date") -> DataFrame:
