@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from weektide.operators import cleaning
 from weektide.operators import features as FE
 from weektide.operators import models as M
-from weektide.plans import pipelines
+from weektide.plans import catalog_quality, pipelines
+from weektide.plans.registry import QUERIES
 from weektide.schema import RAW_HEADERS, TRANSACTION_SCHEMA, schema_difference
 from weektide.session import tune
 from weektide.sources import files, sinks
@@ -85,6 +87,72 @@ def test_fingerprints_of_files_beyond_one_value(spark, tmp_path):
     assert sorted(whole.collect()) == sorted(rows)
 
 
+def test_raw_files_in_passes(spark, tmp_path):
+    rows = [
+        (i, None if i % 9 == 0 else f"o{i // 3}", date(1999, 1 + i % 12, 3), f"Zoë, \"{i % 7}\"", i / 4)
+        for i in range(2000)
+    ]
+    names = "row_id bigint, order_id string, order_date date, city string, sales double"
+    lines = spark.createDataFrame(rows + rows[:50], names)
+    # A shuffle, whose files are to go with the pass that made them.
+    shuffled = lines.repartition(4, "row_id")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held() -> set:
+        return {b for b in blocks.getAllBlocks().mkString(" ").split() if "shuffle_" in b}
+
+    setting, before = spark.conf.getAll, held()
+    path = sinks.write_raw_csv(shuffled, str(tmp_path / "raw"), compression="gzip", passes=3)
+    assert held() <= before and spark.conf.getAll == setting
+    written = [p for p in (tmp_path / "raw").iterdir() if p.name.startswith("part-")]
+    assert written and all(p.name.endswith(".csv.gz") for p in written)
+    back = files.scan_raw_csv(spark, path).select("row_id", "order_id", "order_date", "city", "sales")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, lines.collect()))
+    sinks.write_raw_csv(lines.limit(5), path)
+    assert files.scan_raw_csv(spark, path).count() == 5
+    shuffled.write.parquet(str(tmp_path / "kept"))
+    assert held() - before
+
+
+def test_round_trip_takes_passes_and_packed_files(spark, tmp_path, monkeypatch):
+    day = datetime(1999, 2, 3)
+    tables = {
+        "lineitem": (
+            "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_shipdate timestamp",
+            [(None if i % 50 == 0 else i // 4, i % 7, i % 4, 2.0, i / 4, 0.05, day) for i in range(600)] * 2,
+        ),
+        "orders": (
+            "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderpriority string",
+            [(i, i % 5, day, "5-LOW") for i in range(140)],
+        ),
+        "customer": (
+            "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+            [(i, f"C, {i}", i % 2, "BUILDING") for i in range(4)],
+        ),
+        "part": (
+            "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+            [(i, f"part \"{i}\"", "B", "PROMO", 9.5) for i in range(6)],
+        ),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "A", 0), (1, "B", 0)]),
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    def round_trip():
+        back = QUERIES["csv_round_trip"](spark, str(tmp_path))
+        return sorted(map(repr, back.collect())), back.inputFiles()
+
+    one_pass, packed = round_trip()
+    assert len(one_pass) == 1200 and all(name.endswith(".gz") for name in packed)
+    wrote, write = [], sinks.write_raw_csv
+    monkeypatch.setattr(catalog_quality, "PASS_ROWS", 500)
+    monkeypatch.setattr(sinks, "write_raw_csv", lambda *a, **o: wrote.append(o) or write(*a, **o))
+    assert round_trip()[0] == one_pass
+    assert wrote == [{"compression": "gzip", "passes": 3}]
+
+
 def test_every_byte_of_the_windows_encoding(spark, tmp_path):
     path = tmp_path / "odd.csv"
     signs = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))

@@ -23,6 +23,11 @@ STAR_DOMAINS = {
     "ship_mode": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
 }
 
+# Raw files are written in one pass up to so many rows, in more beyond; every pass reads the
+# tables, so their number is bounded.
+PASS_ROWS = 4_000_000
+PASSES = 8
+
 _ALL = ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" if c in ("order_date", "ship_date")
     else f"CAST({c} AS DOUBLE) AS {c}" if c in ("sales", "discount", "profit") else c
@@ -460,8 +465,15 @@ _READ_BACK = ", ".join(
 
 @query("csv_round_trip", f"{S.WITH_T} SELECT {_READ_BACK} FROM t")
 def _(spark, path):
-    """All transactions as raw Windows-1252 files and back through the raw reader."""
-    folder = sinks.write_raw_csv(_all_columns(spark, path), shared_path(spark, "raw"))
+    """All transactions as raw Windows-1252 files and back through the raw reader.
+
+    As text they are several times the size of the tables, so they are packed, and written
+    in up to ``PASSES`` passes, each with its share of the shuffle files.
+    """
+    passes = min(PASSES, 1 + table(spark, path, "order_id").count() // PASS_ROWS)
+    folder = sinks.write_raw_csv(
+        _all_columns(spark, path), shared_path(spark, "raw"), compression="gzip", passes=passes
+    )
     return cleaning.standardize_types(scan_raw_csv(spark, folder))
 
 

@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weektide.schema import RAW_HEADERS, canonical_name, text_columns
+from weektide.sources.durable import released_shuffles
 from weektide.sources.files import from_windows
 from weektide.sources.publish import publish
 
+#: Rows of a packed file, about 200 MB of a raw one.
+FILE_ROWS = 1_000_000
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
@@ -24,10 +28,20 @@ def write_table(
     return path
 
 
-def write_raw_csv(df: DataFrame, path: str, encoding: str = "windows-1252") -> str:
+def write_raw_csv(
+    df: DataFrame,
+    path: str,
+    encoding: str = "windows-1252",
+    compression: str | None = None,
+    passes: int = 1,
+) -> str:
     """Transactions as raw files with their header, dates month first, absent columns empty.
 
-    Signs that the encoding lacks become ``?``.
+    Signs that the encoding lacks become ``?``.  For tables that strain the disk,
+    ``compression`` packs the files (by a codec that the reader knows from their names), none
+    with more than ``FILE_ROWS`` rows, since a packed file is read by one task.  ``passes``
+    writes the orders in so many parts of about equal size, one after the other: ``df`` is
+    computed for each, and the shuffle files of one are gone before the next.
     """
     windows = encoding.lower() in ("windows-1252", "cp1252")
     texts = text_columns(df)
@@ -39,9 +53,15 @@ def write_raw_csv(df: DataFrame, path: str, encoding: str = "windows-1252") -> s
             return F.date_format(name, "M/d/yyyy")
         return from_windows(F.col(name), back=True) if windows and name in texts else F.col(name)
 
-    out = df.select(*[written(canonical_name(h)).alias(h) for h in RAW_HEADERS])
     options = {"header": True, "quote": '"', "escape": '"', "encoding": "iso-8859-1" if windows else encoding}
-    out.write.mode("overwrite").options(**options).csv(path)
+    if compression:
+        options |= {"compression": compression, "maxRecordsPerFile": FILE_ROWS}
+    for part in range(passes):
+        # Not the hash that shuffles deal by: a part would fill few of their partitions.
+        rows = df if passes == 1 else df.filter(F.pmod(F.xxhash64("order_id"), F.lit(passes)) == part)
+        out = rows.select(*[written(canonical_name(h)).alias(h) for h in RAW_HEADERS])
+        with released_shuffles(df.sparkSession):
+            out.write.mode("append" if part else "overwrite").options(**options).csv(path)
     return path
 
 
