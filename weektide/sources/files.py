@@ -101,7 +101,8 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
 
     A digest is one pass over its file by one task.  A file of up to ``WHOLE`` bytes is one
     row there; of a larger one, the task holds a batch of lines at a time, whatever the
-    bytes mean.  So no file is too large, but 2 GB without a line feed are.
+    bytes mean.  So no file is too large, but a stretch of it without a line feed must fit
+    in a task, and have less than 2 GB.
     """
     files = spark.read.format("binaryFile").load(path)
     whole = min(WHOLE, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
